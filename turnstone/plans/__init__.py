@@ -2,3 +2,4 @@
 
 from turnstone.plans.registry import REGISTRY  # noqa: F401
 from turnstone.plans import kpi_queries  # noqa: F401
+from turnstone.plans import feature_queries  # noqa: F401
