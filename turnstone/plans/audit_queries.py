@@ -53,7 +53,7 @@ def q_describe(spark, sf):
 
 @register("frame_profile", """
 SELECT * FROM (VALUES
- (0, 'event_id', 'bigint'), (1, 'ts', 'timestamp'), (2, 'user_id', 'bigint'), (3, 'event_type', 'string'),
+ (0, 'event_id', 'bigint'), (1, 'ts', 'timestamp_ntz'), (2, 'user_id', 'bigint'), (3, 'event_type', 'string'),
  (4, 'value', 'double'), (5, 'props', 'string')) t(position, "column", dtype)
 JOIN (SELECT unnest([0,1,2,3,4,5]) AS position,
              unnest([count(event_id), count(ts), count(user_id), count(event_type), count(value), count(props)]) AS non_null,
