@@ -4,3 +4,5 @@ from turnstone.plans.registry import REGISTRY  # noqa: F401
 from turnstone.plans import kpi_queries  # noqa: F401
 from turnstone.plans import feature_queries  # noqa: F401
 from turnstone.plans import audit_queries  # noqa: F401
+from turnstone.plans import log_queries  # noqa: F401
+from turnstone.plans import eval_queries  # noqa: F401
