@@ -157,3 +157,21 @@ def translate(df: DataFrame, col: str = "feature", out: str = "label") -> DataFr
                      .select(col, F.coalesce(F.col("label"), F.col("_prefixed"),
                                              F.regexp_replace(F.col(col), "_", " ")).alias(out)))
     return df.join(resolved, col, "left")
+
+
+def linear_attributions(df: DataFrame, terms: dict, coefs: dict, col: str = "attributions",
+                        digits: int | None = None) -> DataFrame:
+    """M14 for a linear margin: ``coef_i · (x_i − mean(x_i))`` per feature.
+
+    The background means come from one aggregate pass (one number per
+    feature) and are inlined; the rest is a per-row projection.
+    """
+    from turnstone.functions.exprs import round_half_up
+
+    names = [n for n in terms if n in coefs]
+    means = df.agg(*[F.avg(terms[n]).alias(f"m{i}") for i, n in enumerate(names)]).first()
+    vals = []
+    for i, n in enumerate(names):
+        v = F.lit(float(coefs[n])) * (terms[n] - F.lit(float(means[f"m{i}"] or 0.0)))
+        vals.append(round_half_up(v, digits) if digits is not None else v)
+    return df.withColumn(col, attribution_array(names, vals))

@@ -6,3 +6,4 @@ from turnstone.plans import feature_queries  # noqa: F401
 from turnstone.plans import audit_queries  # noqa: F401
 from turnstone.plans import log_queries  # noqa: F401
 from turnstone.plans import eval_queries  # noqa: F401
+from turnstone.plans import explain_queries  # noqa: F401
