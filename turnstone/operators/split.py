@@ -43,13 +43,34 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "EmployeeNu
     """
     if not exact:
         return hash_split(df, key, test_fraction, seed, col)
+    target = lambda n: _half_up_share(n, test_fraction)
+    return mark_lowest(df, key, target, group=label, seed=seed, col=col)
+
+
+def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed: int = 42,
+                col: str = "is_low") -> DataFrame:
+    """Flag exactly ``target(n_group)`` rows per group: those with the
+    smallest (hash(key, seed), key). ``target`` maps the group's row count
+    column to the number of rows to flag (an int works too).
+
+    The cut is found from a per-group histogram of the hash (groups ×
+    4096 rows), so no window ever spans a whole group; only the rows of the
+    one boundary bucket per group are ranked, and the resulting cut (one row
+    per group) is broadcast back.
+    """
+    label = group or "_g"
+    if group is None:
+        df = df.withColumn("_g", F.lit(0))
+    if not callable(target):
+        fixed = int(target)
+        target = lambda n: F.least(n, F.lit(fixed)).cast("long")
     span = 1 << 60
     buckets = 4096
     framed = (df.withColumn("_h", key_hash(key, seed, span))
                 .withColumn("_b", F.floor(F.col("_h") / F.lit(span // buckets))))
     hist = framed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     hist = (hist.withColumn("_cum", F.sum("_n").over(_win(label, "_b")))
-                .withColumn("_target", _half_up_share(F.sum("_n").over(_win_all(label)), test_fraction))
+                .withColumn("_target", target(F.sum("_n").over(_win_all(label))))
                 .withColumn("_before", F.col("_cum") - F.col("_n"))
                 .where((F.col("_before") < F.col("_target")) & (F.col("_target") <= F.col("_cum"))))
     # The target-th row of each label lies in its boundary bucket; rank only that bucket.
@@ -60,7 +81,8 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "EmployeeNu
     out = framed.join(F.broadcast(cut), label, "left")
     is_test = (F.col("_h") < F.col("_cut_h")) | (
         (F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    return out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_b", "_cut_h", "_cut_k")
+    out = out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_b", "_cut_h", "_cut_k")
+    return out.drop("_g") if group is None else out
 
 
 def _half_up_share(n, fraction: float, den: int = HASH_BUCKETS):
