@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.operators.split import key_hash
+from turnstone.session import materialize
 
 MAX_PIVOTS = 256
 
@@ -27,7 +28,22 @@ def as_double_array(c) -> Column:
     return c.cast("array<double>")
 
 
-def euclid(a: Column, b: Column) -> Column:
+UNROLL_MAX = 512
+
+
+def euclid(a: Column, b: Column, dim: int | None = None) -> Column:
+    """Euclidean distance of two double arrays.
+
+    With a known dimension the sum is unrolled into plain arithmetic on
+    ``a[i]``, which whole-stage codegen compiles; otherwise a higher-order
+    ``zip_with``/``aggregate`` (interpreted, slower) is used.
+    """
+    if dim is not None and 0 < dim <= UNROLL_MAX:
+        acc = None
+        for i in range(dim):
+            diff = a.getItem(i) - b.getItem(i)
+            acc = diff * diff if acc is None else acc + diff * diff
+        return F.sqrt(acc)
     sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
 
@@ -38,11 +54,28 @@ def _pivots(points: DataFrame, id_col: str, vec: str, n_pivots: int, seed: int):
     return [list(map(float, r[vec])) for r in rows]
 
 
+def pivot_distances(pivots: list[list[float]]):
+    """Pandas UDF: distances of each row's vector to every pivot (numpy,
+    one Arrow batch at a time; the pivot matrix is a few KB)."""
+    import numpy as np
+    import pandas as pd
+
+    P = np.asarray(pivots, dtype=np.float64)
+
+    def dist(v):
+        if len(v) == 0:
+            return pd.Series([], dtype=object)
+        X = np.vstack(v.to_numpy())
+        D = np.sqrt(np.maximum(((X[:, None, :] - P[None, :, :]) ** 2).sum(axis=2), 0.0))
+        return pd.Series(list(D))
+
+    dist.__annotations__ = {"v": pd.Series, "return": pd.Series}  # real types for the hint check
+    return F.pandas_udf(dist, "array<double>")
+
+
 def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec") -> DataFrame:
     """Adds ``_pd`` (distances to every pivot), ``_cell`` and ``_dcell``."""
-    lit_p = F.array(*[F.array(*[F.lit(x) for x in p]) for p in pivots])
-    pd = F.transform(lit_p, lambda p: euclid(F.col(vec), p))
-    out = points.withColumn("_pd", pd)
+    out = points.withColumn("_pd", pivot_distances(pivots)(F.col(vec)))
     best = F.array_min(F.col("_pd"))
     return out.withColumn("_dcell", best).withColumn("_cell", F.array_position(F.col("_pd"), best).cast("int") - 1)
 
@@ -54,11 +87,12 @@ def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_c
     same frame). Output: (id, rank, neighbor_id, distance), rank 1-based."""
     same = data is None
     data = queries if same else data
-    q = queries.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec"))
-    d = data.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec"))
+    d = materialize(data.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
+    q = d if same else materialize(queries.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
     n = d.count()
     n_piv = max(1, min(MAX_PIVOTS, int(math.ceil(n / cell_target))))
     pivots = _pivots(d, "id", "vec", n_piv, seed)
+    dim = len(pivots[0]) if pivots else None
     dq = assign_cells(q, pivots)
     dd = assign_cells(d, pivots)
     radius = dd.groupBy("_cell").agg(F.max("_dcell").alias("_radius"))
@@ -68,7 +102,7 @@ def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_c
         j = left.join(d_small, on_cell)
         if exclude_self:
             j = j.where(F.col("id") != F.col("nid"))
-        return j.select("id", "nid", euclid(F.col("vec"), F.col("nvec")).alias("dist"))
+        return j.select("id", "nid", euclid(F.col("vec"), F.col("nvec"), dim).alias("dist"))
 
     # 1) own cell → bound r_q (k-th distance, +inf when the cell has fewer than k others)
     own = pairs(dq.select("id", "vec", "_cell"), "_cell")

@@ -8,3 +8,4 @@ from turnstone.plans import log_queries  # noqa: F401
 from turnstone.plans import eval_queries  # noqa: F401
 from turnstone.plans import explain_queries  # noqa: F401
 from turnstone.plans import resample_queries  # noqa: F401
+from turnstone.plans import model_queries  # noqa: F401

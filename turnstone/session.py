@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # local mode: the driver JVM is the only executor (ignored once a JVM runs)
+    "spark.driver.memory": "16g",
     # A dimension is only broadcast when the planner can prove it is small.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
@@ -60,3 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df):
+    """Cut lineage for a frame that a multi-pass operator reads several times.
+
+    Uses a reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir``
+    (never a machine-local folder), so a lost executor does not force the
+    upstream joins to be recomputed and every pass sees identical rows.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
