@@ -10,3 +10,4 @@ from turnstone.plans import explain_queries  # noqa: F401
 from turnstone.plans import resample_queries  # noqa: F401
 from turnstone.plans import model_queries  # noqa: F401
 from turnstone.plans import causal_queries  # noqa: F401
+from turnstone.plans import io_queries  # noqa: F401
