@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnstone.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -60,7 +62,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     """
     sp = df.sparkSession
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     cum = running_totals(counts, "v", ["n"], buckets=buckets).withColumn(
         "first_rank", F.col("cum_n") - F.col("n"))  # 0-based rank of the first copy
     nr = counts.agg(F.sum("n").alias("N")).first()["N"] or 0

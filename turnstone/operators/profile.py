@@ -47,6 +47,10 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
 
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    if exact:
+        # several passes follow (moments + one order-statistic job per column)
+        from turnstone.session import materialize
+        df = materialize(df.select(*cols))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
