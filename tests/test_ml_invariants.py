@@ -4,7 +4,6 @@ import itertools
 import math
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from turnstone.operators import causal as ca

@@ -8,7 +8,7 @@ is a broadcast join against fixed dictionaries of a few dozen rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Features a manager cannot act on (matched on the name's first "_" part).
@@ -127,36 +127,30 @@ def global_importance(df: DataFrame, attr: str = "attributions") -> DataFrame:
               .orderBy(F.desc("mean_abs_shap"), "feature"))
 
 
-def label_tables(spark: SparkSession):
-    labels = spark.createDataFrame(list(FEATURE_LABELS.items()), "feature string, label string")
-    prefixes = spark.createDataFrame(
-        [(i, base, FEATURE_LABELS.get(base, base)) for i, base in enumerate(VALUE_LABELS)],
-        "prefix_order int, base string, base_label string")
-    values = spark.createDataFrame(
-        [(base, k, v) for base, m in VALUE_LABELS.items() for k, v in m.items()],
-        "base string, value string, value_label string")
-    return labels, prefixes, values
+def label_expr(name: Column) -> Column:
+    """J7 as one projection: exact label, else the first ``<base>_`` prefix
+    (dictionary order) rendered ``base label: value label`` (the value itself
+    when it has no label), else the name with ``_`` as spaces. The
+    dictionaries are fixed literals, so no join is needed at any size."""
+    exact = F.create_map(*[F.lit(x) for kv in FEATURE_LABELS.items() for x in kv])
+    values = F.create_map(*[F.lit(x) for base, m in VALUE_LABELS.items() for k, v in m.items()
+                            for x in (f"{base}_{k}", v)])
+    out = None
+    for base in VALUE_LABELS:
+        pref = base + "_"
+        value = F.substring(name, len(pref) + 1, 1 << 30)
+        rendered = F.concat(F.lit(FEATURE_LABELS.get(base, base) + ": "),
+                            F.coalesce(F.try_element_at(values, F.concat(F.lit(pref), value)), value))
+        hit = name.startswith(pref)
+        out = F.when(hit, rendered) if out is None else out.when(hit, rendered)
+    fallback = F.regexp_replace(name, "_", " ")
+    prefixed = out.otherwise(fallback) if out is not None else fallback
+    return F.coalesce(F.try_element_at(exact, name), prefixed)
 
 
 def translate(df: DataFrame, col: str = "feature", out: str = "label") -> DataFrame:
-    """Exact label, else first matching ``<base>_`` prefix rendered as
-    ``base label: value label`` (value label when known), else the name with
-    ``_`` replaced by spaces. Dictionaries are fixed and tiny → broadcast."""
-    spark = df.sparkSession
-    labels, prefixes, values = label_tables(spark)
-    names = df.select(col).distinct()
-    pref = (names.join(F.broadcast(prefixes), F.col(col).startswith(F.concat(F.col("base"), F.lit("_"))))
-                 .groupBy(col).agg(F.min(F.struct("prefix_order", "base", "base_label")).alias("m"))
-                 .select(col, F.col("m.base").alias("base"), F.col("m.base_label").alias("base_label")))
-    pref = pref.withColumn("value", F.expr(f"substring(`{col}`, length(base) + 2)"))
-    pref = pref.join(F.broadcast(values), ["base", "value"], "left").select(
-        col, F.concat(F.col("base_label"), F.lit(": "), F.coalesce(F.col("value_label"), F.col("value")))
-        .alias("_prefixed"))
-    resolved = (names.join(F.broadcast(labels.withColumnRenamed("feature", col)), col, "left")
-                     .join(pref, col, "left")
-                     .select(col, F.coalesce(F.col("label"), F.col("_prefixed"),
-                                             F.regexp_replace(F.col(col), "_", " ")).alias(out)))
-    return df.join(resolved, col, "left")
+    """J7 over any frame of feature names."""
+    return df.withColumn(out, label_expr(F.col(col)))
 
 
 def linear_attributions(df: DataFrame, terms: dict, coefs: dict, col: str = "attributions",

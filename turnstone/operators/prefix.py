@@ -74,12 +74,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
         lo = int(h // 1)
         hi = min(lo + 1, nr - 1) if h > lo else lo
         targets.append((float(p), lo, hi, float(h - lo)))
-    t = sp.createDataFrame(targets, "prob double, lo long, hi long, frac double")
-    ranks = t.select("prob", F.explode(F.array(F.struct(F.lit("lo").alias("which"), F.col("lo").alias("r")),
-                                               F.struct(F.lit("hi").alias("which"), F.col("hi").alias("r"))))
-                     .alias("x")).select("prob", "x.which", "x.r")
-    hit = cum.join(F.broadcast(ranks), (F.col("r") >= F.col("first_rank")) & (F.col("r") < F.col("cum_n")))
-    piv = hit.groupBy("prob").agg(F.max(F.when(F.col("which") == "lo", F.col("v"))).alias("vlo"),
-                                  F.max(F.when(F.col("which") == "hi", F.col("v"))).alias("vhi"))
-    return (piv.join(F.broadcast(t.select("prob", "frac")), "prob")
-               .select("prob", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value")))
+    # Each requested rank is matched by a range test in one projection over
+    # the (value, cumulative count) rows: no join, one pass.
+    hits = []
+    for i, (p, lo, hi, frac) in enumerate(targets):
+        for which, r in (("lo", lo), ("hi", hi)):
+            inside = (F.lit(r) >= F.col("first_rank")) & (F.lit(r) < F.col("cum_n"))
+            hits.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.lit(which).alias("which"),
+                                                F.col("v").alias("v"))))
+    found = (cum.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+                .groupBy(F.col("h.i").alias("i"))
+                .agg(F.max(F.when(F.col("h.which") == "lo", F.col("h.v"))).alias("vlo"),
+                     F.max(F.when(F.col("h.which") == "hi", F.col("h.v"))).alias("vhi")))
+    t = sp.createDataFrame([(i, p, frac) for i, (p, _, _, frac) in enumerate(targets)],
+                           "i int, prob double, frac double")
+    return (found.join(F.broadcast(t), "i")
+                 .select("prob", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value")))

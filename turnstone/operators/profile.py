@@ -6,7 +6,7 @@ number of columns or distinct values, never by the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +17,13 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
-    """Share of rows per value. The window spans only the aggregated
-    rows (one per distinct value), never the raw table."""
+    """Share of rows per value; the total is a one-row aggregate
+    attached by a broadcast join, so no window gathers the distinct values."""
+    from turnstone.operators.metrics import attach_totals
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    return (counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
-                  .orderBy(F.desc("count"), col))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    return (attach_totals(counts, total).withColumn("share", F.col("count") / F.col("_total"))
+                  .drop("_total").orderBy(F.desc("count"), col))
 
 
 def share_of(df: DataFrame, col: str, value, by: str | None = None) -> DataFrame:
