@@ -53,14 +53,14 @@ def department_risk_rank(scored: DataFrame, dept: str = "Department",
                          prob: str = "predicted_probability") -> DataFrame:
     """Rank (1 = riskiest, ties share a rank) within each department.
 
-    The rank is computed on (department, score, count) rows — at most the
-    number of distinct scores per department — and joined back, so a large
-    department never becomes one sorting task.
+    Ranks are computed on (department, score, count) rows with a bucketed
+    running count per department, then joined back on (department, score):
+    neither a large department nor a repeated score becomes one task.
     """
+    from turnstone.operators.prefix import running_totals
     levels = scored.groupBy(dept, prob).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(dept).orderBy(F.desc(prob)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = levels.select(dept, prob, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1)
-                          .cast("long").alias("risk_rank"))
+    cum = running_totals(levels, prob, ["_n"], descending=True, group=[dept])
+    ranks = cum.select(dept, prob, (F.col("cum__n") - F.col("_n") + 1).cast("long").alias("risk_rank"))
     return scored.join(ranks, [dept, prob], "left")
 
 

@@ -35,22 +35,43 @@ def range_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
 
 def running_totals(df: DataFrame, key: str, sums: list[str], descending: bool = False,
                    tiebreak: list[str] | None = None, buckets: int = DEFAULT_BUCKETS,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", group: list[str] | None = None) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over all rows up to and including this
-    one in ``key`` order (ties broken by ``tiebreak``)."""
+    one in ``key`` order (ties broken by ``tiebreak``), restarting per
+    ``group`` when given. A large group is still cut into ``buckets``
+    ranges (bounds per group), so it never becomes one window task."""
+    group = group or []
     order = [F.desc(key) if descending else F.asc(key)] + [F.asc(t) for t in (tiebreak or [])]
-    b = range_bucket(df, key, buckets, descending)
-    totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    w_small = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_small), F.lit(0))
-                                         .alias(f"_o_{c}") for c in sums])
-    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(F.broadcast(offsets), "_bucket")
+    df = materialize(df)  # read by the bounds pass, the totals and the final window
+    if group:
+        b = _group_bucket(df, key, group, buckets, descending)
+    else:
+        b = range_bucket(df, key, buckets, descending)
+    totals = b.groupBy(*group, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    w_small = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_small), F.lit(0))
+                                                 .alias(f"_o_{c}") for c in sums])
+    w = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # offsets: groups × buckets rows; small when the group count is bounded
+    off = offsets if group else F.broadcast(offsets)
+    out = b.join(off, [*group, "_bucket"])
     for c in sums:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.sum(c).over(w))
     return out.drop("_bucket", *[f"_o_{c}" for c in sums])
 
 
+def _group_bucket(df: DataFrame, key: str, group: list[str], buckets: int, descending: bool) -> DataFrame:
+    """Monotone bucket of ``key`` within each group (bounds per group from
+    ``percentile_approx``, one row per group, joined back)."""
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = df.groupBy(*group).agg(
+        F.array_distinct(F.percentile_approx(F.col(key).cast("double"), probs, 10_000)).alias("_bounds"))
+    x = F.col(key).cast("double")
+    asc = F.size(F.filter(F.col("_bounds"), lambda v: v < x))
+    b = (F.size("_bounds") - asc) if descending else asc
+    return df.join(bounds, group).withColumn("_bucket", b.cast("int")).drop("_bounds")
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles with linear interpolation between closest ranks.

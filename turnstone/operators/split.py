@@ -53,10 +53,10 @@ def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed:
     smallest (hash(key, seed), key). ``target`` maps the group's row count
     column to the number of rows to flag (an int works too).
 
-    The cut is found from a per-group histogram of the hash (groups ×
-    4096 rows), so no window ever spans a whole group; only the rows of the
-    one boundary bucket per group are ranked, and the resulting cut (one row
-    per group) is broadcast back.
+    The cut is found from per-group histograms of the hash (two levels of
+    4096 buckets), so no window ever spans a whole group; only the rows of
+    the one final boundary bucket per group are ranked, and the resulting
+    cut (one row per group) is broadcast back.
     """
     label = group or "_g"
     if group is None:
@@ -65,23 +65,40 @@ def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed:
         fixed = int(target)
         target = lambda n: F.least(n, F.lit(fixed)).cast("long")
     span = 1 << 60
-    buckets = 4096
-    framed = (df.withColumn("_h", key_hash(key, seed, span))
-                .withColumn("_b", F.floor(F.col("_h") / F.lit(span // buckets))))
-    hist = framed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    hist = (hist.withColumn("_cum", F.sum("_n").over(_win(label, "_b")))
-                .withColumn("_target", target(F.sum("_n").over(_win_all(label))))
-                .withColumn("_before", F.col("_cum") - F.col("_n"))
-                .where((F.col("_before") < F.col("_target")) & (F.col("_target") <= F.col("_cum"))))
-    # The target-th row of each label lies in its boundary bucket; rank only that bucket.
-    inside = framed.join(F.broadcast(hist.select(label, "_b", "_before", "_target")), [label, "_b"])
+    framed = df.withColumn("_h", key_hash(key, seed, span))
+    # Two histogram levels of 4096 buckets each: the boundary rows that are
+    # finally ranked are ~1/16.7M of a group, however large the group is.
+    lo_h = None  # per group: (_before, _target, bucket bounds) of the current boundary range
+    bits = 60
+    for level in range(2):
+        bits -= 12
+        width = 1 << bits
+        cur = framed.withColumn("_b", F.shiftright(F.col("_h"), bits))  # exact integer bucket
+        if lo_h is not None:
+            cur = cur.join(F.broadcast(lo_h.select(label, "_lo", "_hi", "_before0", "_target")), label) \
+                     .where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
+        else:
+            cur = cur.withColumn("_before0", F.lit(0).cast("long"))
+        hist = cur.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"),
+                                            F.first("_before0").alias("_before0"),
+                                            *([F.first("_target").alias("_target")] if lo_h is not None else []))
+        if lo_h is None:
+            hist = hist.withColumn("_target", target(F.sum("_n").over(_win_all(label))))
+        hist = (hist.withColumn("_cum", F.col("_before0") + F.sum("_n").over(_win(label, "_b")))
+                    .withColumn("_before", F.col("_cum") - F.col("_n"))
+                    .where((F.col("_before") < F.col("_target")) & (F.col("_target") <= F.col("_cum"))))
+        lo_h = hist.select(label, (F.col("_b") * F.lit(width)).alias("_lo"),
+                           ((F.col("_b") + 1) * F.lit(width)).alias("_hi"),
+                           F.col("_before").alias("_before0"), "_target")
+    # Rank only the rows of the final boundary range (at most one per group).
+    inside = framed.join(F.broadcast(lo_h), label).where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
     cut = (inside.withColumn("_r", F.row_number().over(_win(label, "_h", key)))
-                 .where(F.col("_r") == F.col("_target") - F.col("_before"))
+                 .where(F.col("_r") == F.col("_target") - F.col("_before0"))
                  .select(label, F.col("_h").alias("_cut_h"), F.col(key).alias("_cut_k")))
     out = framed.join(F.broadcast(cut), label, "left")
     is_test = (F.col("_h") < F.col("_cut_h")) | (
         (F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    out = out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_b", "_cut_h", "_cut_k")
+    out = out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_cut_h", "_cut_k")
     return out.drop("_g") if group is None else out
 
 
