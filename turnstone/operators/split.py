@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.functions.exprs import hash_bucket_expr
+from turnstone.session import materialize
 
 HASH_BUCKETS = 10_000
 
@@ -65,7 +66,9 @@ def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed:
         fixed = int(target)
         target = lambda n: F.least(n, F.lit(fixed)).cast("long")
     span = 1 << 60
-    framed = df.withColumn("_h", key_hash(key, seed, span))
+    # The cut needs several passes over (group, key, hash) only: materialise
+    # that narrow frame once; the full rows are read once more at the end.
+    framed = materialize(df.select(label, key).withColumn("_h", key_hash(key, seed, span)))
     # Two histogram levels of 4096 buckets each: the boundary rows that are
     # finally ranked are ~1/16.7M of a group, however large the group is.
     lo_h = None  # per group: (_before, _target, bucket bounds) of the current boundary range
@@ -95,7 +98,7 @@ def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed:
     cut = (inside.withColumn("_r", F.row_number().over(_win(label, "_h", key)))
                  .where(F.col("_r") == F.col("_target") - F.col("_before0"))
                  .select(label, F.col("_h").alias("_cut_h"), F.col(key).alias("_cut_k")))
-    out = framed.join(F.broadcast(cut), label, "left")
+    out = df.withColumn("_h", key_hash(key, seed, span)).join(F.broadcast(cut), label, "left")
     is_test = (F.col("_h") < F.col("_cut_h")) | (
         (F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
     out = out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_cut_h", "_cut_k")
