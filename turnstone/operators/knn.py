@@ -82,7 +82,7 @@ def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec")
 
 def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_col: str = "id",
              vec: str = "vec", exclude_self: bool = True, cell_target: int = 128,
-             seed: int = 42) -> DataFrame:
+             seed: int = 42, block_rows: int = 256) -> DataFrame:
     """For every query row its ``k`` nearest rows of ``data`` (default: the
     same frame). Output: (id, rank, neighbor_id, distance), rank 1-based."""
     same = data is None
@@ -93,13 +93,28 @@ def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_c
     n_piv = max(1, min(MAX_PIVOTS, int(math.ceil(n / cell_target))))
     pivots = _pivots(d, "id", "vec", n_piv, seed)
     dim = len(pivots[0]) if pivots else None
-    dq = assign_cells(q, pivots)
-    dd = assign_cells(d, pivots)
-    radius = dd.groupBy("_cell").agg(F.max("_dcell").alias("_radius"))
-    d_small = dd.select(F.col("id").alias("nid"), F.col("vec").alias("nvec"), "_cell")
+    # pivot distances are computed once per row (materialised: read by several passes)
+    dq = materialize(assign_cells(q, pivots))
+    dd = dq if same else materialize(assign_cells(d, pivots))
+    stats = {r["_cell"]: (float(r["_radius"]), int(r["_n"])) for r in
+             dd.groupBy("_cell").agg(F.max("_dcell").alias("_radius"), F.count(F.lit(1)).alias("_n")).collect()}
+    # Pair work of a cell is split into query blocks of ~block_rows rows; the
+    # cell's data rows are replicated once per block. Both sides are hash
+    # partitioned on (cell, block) with an explicit partition count, so the
+    # pair-generating join is spread over tasks even when the inputs are
+    # small in bytes (AQE does not coalesce an explicit repartition) and a
+    # dense cell never lands in one task.
+    blocks = {c: max(1, math.ceil(nc / block_rows)) for c, (_, nc) in stats.items()}
+    bmap = F.create_map(*[F.lit(x) for c, b in blocks.items() for x in (c, b)])
+    n_parts = max(1, min(8192, sum(blocks.values())))
+    d_small = (dd.select(F.col("id").alias("nid"), F.col("vec").alias("nvec"), "_cell")
+                 .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.element_at(bmap, F.col("_cell")) - 1)))
+                 .repartition(n_parts, "_cell", "_blk"))
 
     def pairs(left, on_cell):
-        j = left.join(d_small, on_cell)
+        left = (left.withColumn("_blk", F.pmod(F.xxhash64("id"), F.element_at(bmap, F.col(on_cell))))
+                    .repartition(n_parts, on_cell, "_blk"))
+        j = left.join(d_small, [on_cell, "_blk"])
         if exclude_self:
             j = j.where(F.col("id") != F.col("nid"))
         return j.select("id", "nid", euclid(F.col("vec"), F.col("nvec"), dim).alias("dist"))
@@ -111,7 +126,7 @@ def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_c
     bound = own_top.groupBy("id").agg(F.max("dist").alias("_rq"), F.count(F.lit(1)).alias("_m"))
     bound = bound.select("id", F.when(F.col("_m") < k, F.lit(float("inf"))).otherwise(F.col("_rq")).alias("_rq"))
     # 2) other cells whose lower bound can beat r_q
-    radii = {r["_cell"]: float(r["_radius"]) for r in radius.collect()}  # ≤ MAX_PIVOTS numbers
+    radii = {c: rad for c, (rad, _) in stats.items()}  # ≤ MAX_PIVOTS numbers
     rad_arr = F.array(*[F.lit(radii.get(i, -1.0)) for i in range(len(pivots))])
     probe = (dq.join(bound, "id", "left")
                .withColumn("_rq", F.coalesce(F.col("_rq"), F.lit(float("inf"))))
