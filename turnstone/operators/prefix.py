@@ -111,3 +111,43 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                            "i int, prob double, frac double")
     return (found.join(F.broadcast(t), "i")
                  .select("prob", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value")))
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``exact_quantiles`` for several columns in one set of jobs.
+
+    Columns are stacked to (column index, value) and reduced to counts per
+    distinct value; the running count restarts per column (grouped, bucketed
+    prefix sum). Output: (column, prob, value)."""
+    sp = df.sparkSession
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("x"))
+    counts = materialize(stacked.select("x.c", "x.v").where(F.col("v").isNotNull())
+                         .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    totals = {r["c"]: r["N"] for r in counts.groupBy("c").agg(F.sum("n").alias("N")).collect()}
+    cum = running_totals(counts, "v", ["n"], buckets=buckets, group=["c"]).withColumn(
+        "first_rank", F.col("cum_n") - F.col("n"))
+    hits, meta = [], []
+    for ci, c in enumerate(cols):
+        nr = totals.get(ci, 0)
+        for pi, p in enumerate(probs):
+            if nr == 0:
+                continue
+            h = (nr - 1) * p
+            lo = int(h // 1)
+            hi = min(lo + 1, nr - 1) if h > lo else lo
+            meta.append((ci, pi, c, float(p), float(h - lo)))
+            for which, r in (("lo", lo), ("hi", hi)):
+                inside = (F.col("c") == ci) & (F.lit(r) >= F.col("first_rank")) & (F.lit(r) < F.col("cum_n"))
+                hits.append(F.when(inside, F.struct(F.lit(ci).alias("ci"), F.lit(pi).alias("pi"),
+                                                    F.lit(which).alias("which"), F.col("v").alias("v"))))
+    t = sp.createDataFrame(meta, "ci int, pi int, column string, prob double, frac double")
+    if not hits:
+        return t.select("column", "prob", F.lit(None).cast("double").alias("value"))
+    found = (cum.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
+                .groupBy(F.col("h.ci").alias("ci"), F.col("h.pi").alias("pi"))
+                .agg(F.max(F.when(F.col("h.which") == "lo", F.col("h.v"))).alias("vlo"),
+                     F.max(F.when(F.col("h.which") == "hi", F.col("h.v"))).alias("vhi")))
+    return (found.join(F.broadcast(t), ["ci", "pi"])
+                 .select("column", "prob", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value")))

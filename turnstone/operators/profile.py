@@ -38,14 +38,12 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
     """Count, mean, sample std, min, 25/50/75% (linear interpolation), max.
 
     Moments come from one aggregate pass, stacked to one row per column.
-    Exact quartiles use the distributed order-statistic operator (one job per
-    column, reading only that column); ``exact=False`` uses
+    Exact quartiles use the distributed order-statistic operator for all
+    columns at once (grouped prefix counts); ``exact=False`` uses
     ``percentile_approx`` inside the same single pass. Neither buffers a
     column's values in one task.
     """
-    from functools import reduce
-
-    from turnstone.operators.prefix import exact_quantiles
+    from turnstone.operators.prefix import exact_quantiles_multi
 
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -68,13 +66,9 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
             f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, p25, p50, p75, max)")
     parts = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
     moments = one.selectExpr(f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, max)")
-    qs = []
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qs.append(q.groupBy().agg(
-            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-              for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]).withColumn("column", F.lit(c)))
-    quart = reduce(lambda a, b: a.unionByName(b), qs)
+    q = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+    quart = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                      for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     return moments.join(F.broadcast(quart), "column").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
