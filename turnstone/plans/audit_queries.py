@@ -174,3 +174,30 @@ def q_lookup(spark, sf):
     return s.join(first, "EmployeeNumber", "left_semi").select(
         "EmployeeNumber", "Department", "JobRole", "predicted_probability")
 
+
+
+@register("top_risk_employees", on_employees("""
+SELECT EmployeeNumber, Department, predicted_probability FROM scored
+ORDER BY predicted_probability DESC, EmployeeNumber LIMIT 10""", SCORED_SQL), ops=("O3", "O2"))
+def q_top_risk(spark, sf):
+    """Top-10 report (the limit is the feature; Spark plans it as a bounded top-k)."""
+    s = scored(spark, sf)
+    return s.orderBy(F.desc("predicted_probability"), "EmployeeNumber").limit(10).select(
+        "EmployeeNumber", "Department", "predicted_probability")
+
+
+def _catalogue_sql():
+    from turnstone.plans.feature_queries import CAT_DOMAINS, NUMERIC
+    names = list(NUMERIC) + ["YearsPerCompany", "MonthlyIncome_log", "TotalWorkingYears_log",
+                             "Income_Longevity_Interaction", "Stagnation_Index"]
+    for col, dom in CAT_DOMAINS:
+        names += [f"{col}_{v}" for v in sorted(dom)[1:]]
+    rows = ", ".join("('" + n.replace("'", "''") + "')" for n in names)
+    return f"SELECT feature FROM (VALUES {rows}) t(feature) ORDER BY feature"
+
+
+@register("feature_catalogue", _catalogue_sql(), ops=("O9", "M21"))
+def q_catalogue(spark, sf):
+    """The fitted feature catalogue, sorted by name."""
+    vocab = fe.fit_vocabulary(fe.engineer(employees(spark, sf)))
+    return vocab.to_df(spark).select("feature").orderBy("feature")
