@@ -172,3 +172,20 @@ def test_tree_attributions_equal_brute_force_shapley(spark):
             assert math.isclose(phi[r, j], val, abs_tol=1e-9)
         assert math.isclose(base + phi[r].sum(), v(tuple(feats)), abs_tol=1e-9)
         assert math.isclose(base, v(()), abs_tol=1e-9)
+
+
+def test_knn_with_copy_groups_against_numpy(spark):
+    """A third of the rows are copies of one vector: collapsed search must
+    still give the exact (distance, id)-ordered neighbours of every row."""
+    rng = np.random.default_rng(11)
+    a, b = rng.random(6), rng.random(6)
+    vecs = [a] * 40 + [b] * 7 + [rng.random(6) for _ in range(73)]
+    ids = rng.permutation(10_000)[:len(vecs)]
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vecs)], "id long, vec array<double>")
+    X = np.array(vecs)
+    got = {(r["id"], r["rank"]): r["neighbor_id"] for r in knn_join(df, k=4, cell_target=16).collect()}
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    for i in range(len(ids)):
+        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (D[i, j], ids[j]))[:4]
+        for r, j in enumerate(order, 1):
+            assert got[(ids[i], r)] == ids[j]

@@ -82,9 +82,55 @@ def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec")
 
 def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_col: str = "id",
              vec: str = "vec", exclude_self: bool = True, cell_target: int = 128,
-             seed: int = 42, block_rows: int = 256) -> DataFrame:
+             seed: int = 42, block_rows: int = 256, collapse_copies: bool = True) -> DataFrame:
     """For every query row its ``k`` nearest rows of ``data`` (default: the
-    same frame). Output: (id, rank, neighbor_id, distance), rank 1-based."""
+    same frame). Output: (id, rank, neighbor_id, distance), rank 1-based.
+
+    For a self-join, exact copies are collapsed first (``collapse_copies``):
+    the search runs on distinct vectors, so a group of identical vectors —
+    even a third of all rows — is one point, not a quadratic block of pairs.
+    """
+    if data is None and collapse_copies:
+        return _knn_self_collapsed(queries, k, id_col, vec, cell_target, seed, block_rows)
+    return _knn_core(queries, data, k, id_col, vec, exclude_self, cell_target, seed, block_rows)
+
+
+def _knn_self_collapsed(df: DataFrame, k: int, id_col: str, vec: str, cell_target: int, seed: int,
+                        block_rows: int) -> DataFrame:
+    """Self kNN over distinct vectors, expanded back to rows.
+
+    Per distinct vector only its ``k + 1`` smallest ids matter (its own
+    copies are each other's nearest rows at distance 0, ordered by id). They
+    are found per input partition first (each (partition, vector) group is
+    bounded by the partition) and then merged, so no copy group is gathered
+    whole. The distinct-vector search keeps ties at the k-th distance, each
+    neighbour vector contributes its smallest ids, and every row takes the
+    first ``k`` of its vector's merged list without itself.
+    """
+    d = materialize(df.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec"))
+                      .withColumn("_vk", F.xxhash64("vec")))
+    w_part = Window.partitionBy(F.spark_partition_id(), "_vk", "vec").orderBy("id")
+    few = d.withColumn("_r", F.row_number().over(w_part)).where(F.col("_r") <= k + 1)
+    groups = materialize(few.groupBy("_vk", "vec").agg(
+        F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("_ids"))
+        .withColumn("_rep", F.element_at("_ids", 1)))
+    nn = _knn_core(groups.select(F.col("_rep").alias("id"), "vec"), None, k, "id", "vec", True,
+                   cell_target, seed, block_rows, keep_ties=True)
+    expanded = (nn.join(groups.select(F.col("_rep").alias("neighbor_id"), F.col("_ids").alias("_nids")), "neighbor_id")
+                  .select("id", "distance", F.explode("_nids").alias("nid")))
+    own = groups.select(F.col("_rep").alias("id"), F.lit(0.0).alias("distance"), F.explode("_ids").alias("nid"))
+    cand = own.unionByName(expanded)
+    lists = cand.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "nid"))), 1, k + 1)
+                                   .alias("_L")).withColumnRenamed("id", "_rep")
+    rows = d.join(groups.select("_vk", "vec", "_rep"), ["_vk", "vec"]).join(lists, "_rep")
+    mine = F.slice(F.filter("_L", lambda x: x["nid"] != F.col("id")), 1, k)
+    return rows.select("id", F.posexplode(mine).alias("pos", "x")).select(
+        "id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.nid").alias("neighbor_id"),
+        F.col("x.distance").alias("distance"))
+
+
+def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, vec: str, exclude_self: bool,
+              cell_target: int, seed: int, block_rows: int, keep_ties: bool = False) -> DataFrame:
     same = data is None
     data = queries if same else data
     d = materialize(data.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
@@ -138,6 +184,10 @@ def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_c
                       & (F.col("_lb") <= F.col("_rq") * (1 + 1e-9) + 1e-12))
                .select("id", "vec", F.col("_c").cast("int").alias("_cell")))
     cand = own_top.select("id", "nid", "dist").unionByName(pairs(probe, "_cell"))
-    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if keep_ties:  # every neighbour tied with the k-th distance is kept
+        ranked = cand.withColumn("rank", F.rank().over(Window.partitionBy("id").orderBy("dist"))) \
+                     .where(F.col("rank") <= k)
+    else:
+        ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("id", F.col("rank").cast("int").alias("rank"), F.col("nid").alias("neighbor_id"),
                          F.col("dist").alias("distance"))
