@@ -17,8 +17,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # local mode: the driver JVM is the only executor (ignored once a JVM runs)
-    "spark.driver.memory": "16g",
     # A dimension is only broadcast when the planner can prove it is small.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
@@ -31,6 +29,9 @@ def build_session(master: str | None = None, app: str = "turnstone",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor (ignored once a JVM runs)
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
