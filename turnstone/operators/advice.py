@@ -3,7 +3,7 @@
 The effect sizes are not constants: they are joined from the
 ``causal_insights`` table (factor → effect), which the causal operators
 fill and ``predictions.upsert`` maintains. The table has one row per factor
-(a handful), so it is broadcast.
+(a handful); its two effects enter as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -39,10 +39,11 @@ def _pct(effect):
 
 def recommendations(emp: DataFrame, insights: DataFrame, key: str = "EmployeeNumber") -> DataFrame:
     """Per employee an ordered array of advice texts (empty when no rule fires)."""
-    eff = insights.groupBy().pivot("factor", [OVERTIME, SATISFACTION]).agg(F.first("effect"))
-    eff = eff.select(F.col(OVERTIME).alias("_eff_ot"), F.col(SATISFACTION).alias("_eff_js"))
-    e = ui_flags(emp).withColumn("_one", F.lit(1)).join(
-        F.broadcast(eff.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")
+    eff = insights.agg(F.max(F.when(F.col("factor") == OVERTIME, F.col("effect"))).alias("_eff_ot"),
+                       F.max(F.when(F.col("factor") == SATISFACTION, F.col("effect"))).alias("_eff_js"))
+    # two scalars from the (tiny) insights table, as scalar subqueries: no join
+    e = ui_flags(emp).select("*", eff.select("_eff_ot").scalar().alias("_eff_ot"),
+                             eff.select("_eff_js").scalar().alias("_eff_js"))
     ot = F.when(F.col("OverTime_Yes") == 1, F.concat(
         F.lit("Overtime (causal effect "), F.coalesce(_pct(F.col("_eff_ot")), F.lit("n/a")),
         F.lit("): review workload or offer time off in lieu.")))

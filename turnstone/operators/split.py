@@ -59,50 +59,58 @@ def mark_lowest(df: DataFrame, key: str, target, group: str | None = None, seed:
     the one final boundary bucket per group are ranked, and the resulting
     cut (one row per group) is broadcast back.
     """
-    label = group or "_g"
-    if group is None:
-        df = df.withColumn("_g", F.lit(0))
+    keys = [group] if group else []
     if not callable(target):
         fixed = int(target)
         target = lambda n: F.least(n, F.lit(fixed)).cast("long")
     span = 1 << 60
     # The cut needs several passes over (group, key, hash) only: materialise
     # that narrow frame once; the full rows are read once more at the end.
-    framed = materialize(df.select(label, key).withColumn("_h", key_hash(key, seed, span)))
+    framed = materialize(df.select(*keys, key).withColumn("_h", key_hash(key, seed, span)))
     # Two histogram levels of 4096 buckets each: the boundary rows that are
     # finally ranked are ~1/16.7M of a group, however large the group is.
-    lo_h = None  # per group: (_before, _target, bucket bounds) of the current boundary range
+    lo_h = None  # per group: (_before0, _target, hash range) of the current boundary bucket
     bits = 60
     for level in range(2):
         bits -= 12
         width = 1 << bits
         cur = framed.withColumn("_b", F.shiftright(F.col("_h"), bits))  # exact integer bucket
         if lo_h is not None:
-            cur = cur.join(F.broadcast(lo_h.select(label, "_lo", "_hi", "_before0", "_target")), label) \
-                     .where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
+            cur = _attach(cur, lo_h, keys).where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
         else:
             cur = cur.withColumn("_before0", F.lit(0).cast("long"))
-        hist = cur.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"),
+        hist = cur.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
                                             F.first("_before0").alias("_before0"),
                                             *([F.first("_target").alias("_target")] if lo_h is not None else []))
         if lo_h is None:
-            hist = hist.withColumn("_target", target(F.sum("_n").over(_win_all(label))))
-        hist = (hist.withColumn("_cum", F.col("_before0") + F.sum("_n").over(_win(label, "_b")))
+            hist = hist.withColumn("_target", target(F.sum("_n").over(_win_all(keys))))
+        hist = (hist.withColumn("_cum", F.col("_before0") + F.sum("_n").over(_win(keys, "_b")))
                     .withColumn("_before", F.col("_cum") - F.col("_n"))
                     .where((F.col("_before") < F.col("_target")) & (F.col("_target") <= F.col("_cum"))))
-        lo_h = hist.select(label, (F.col("_b") * F.lit(width)).alias("_lo"),
+        lo_h = hist.select(*keys, (F.col("_b") * F.lit(width)).alias("_lo"),
                            ((F.col("_b") + 1) * F.lit(width)).alias("_hi"),
                            F.col("_before").alias("_before0"), "_target")
     # Rank only the rows of the final boundary range (at most one per group).
-    inside = framed.join(F.broadcast(lo_h), label).where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
-    cut = (inside.withColumn("_r", F.row_number().over(_win(label, "_h", key)))
+    inside = _attach(framed, lo_h, keys).where((F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_hi")))
+    cut = (inside.withColumn("_r", F.row_number().over(_win(keys, "_h", key)))
                  .where(F.col("_r") == F.col("_target") - F.col("_before0"))
-                 .select(label, F.col("_h").alias("_cut_h"), F.col(key).alias("_cut_k")))
-    out = df.withColumn("_h", key_hash(key, seed, span)).join(F.broadcast(cut), label, "left")
-    is_test = (F.col("_h") < F.col("_cut_h")) | (
+                 .select(*keys, F.col("_h").alias("_cut_h"), F.col(key).alias("_cut_k")))
+    out = _attach(df.withColumn("_h", key_hash(key, seed, span)), cut, keys, how="left")
+    is_low = (F.col("_h") < F.col("_cut_h")) | (
         (F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    out = out.withColumn(col, F.coalesce(is_test, F.lit(False))).drop("_h", "_cut_h", "_cut_k")
-    return out.drop("_g") if group is None else out
+    return out.withColumn(col, F.coalesce(is_low, F.lit(False))).drop("_h", "_cut_h", "_cut_k")
+
+
+def _attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Columns of a tiny per-group frame (at most one row per group) added to
+    ``df``: a broadcast equi-join on the group keys, or — without groups — a
+    scalar subquery per column (no join at all; null when the frame is empty).
+    An inner attach of an empty frame drops every row, as the join would."""
+    if keys:
+        return df.join(F.broadcast(small), keys, how)
+    extra = [c for c in small.columns]
+    out = df.select("*", *[small.select(c).scalar().alias(c) for c in extra])
+    return out if how == "left" else out.where(F.col(extra[0]).isNotNull())
 
 
 def _half_up_share(n, fraction: float, den: int = HASH_BUCKETS):
@@ -111,14 +119,17 @@ def _half_up_share(n, fraction: float, den: int = HASH_BUCKETS):
     return F.floor((n * (2 * num) + den) / F.lit(2 * den)).cast("long")
 
 
-def _win(part, *order):
+def _win(keys, *order):
+    """Window over tiny per-group frames (histograms, boundary buckets)."""
     from pyspark.sql import Window
-    return Window.partitionBy(part).orderBy(*order)
+    keys = [keys] if isinstance(keys, str) else keys
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
-def _win_all(part):
+def _win_all(keys):
     from pyspark.sql import Window
-    return Window.partitionBy(part)
+    keys = [keys] if isinstance(keys, str) else keys
+    return Window.partitionBy(*keys)
 
 
 def fold_column(df: DataFrame, key: str = "EmployeeNumber", k: int = 5, seed: int = 42,
