@@ -49,16 +49,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered, so lineage cuts never land on a machine-local path
     on a real cluster.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="turnstone-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        path = _LOCAL_BASE.get(id(sc)) or tempfile.mkdtemp(prefix="turnstone-ckpt-")
+        _LOCAL_BASE[id(sc)] = path
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments reject runtime core confs
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
+_LOCAL_BASE: dict[int, str] = {}  # test/local sessions only: the folder created for them
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables."""
     base = checkpoint_dir(spark)
