@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from turnstone.operators.split import key_hash
 from turnstone.session import materialize
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 2048
 
 
 def as_double_array(c) -> Column:
@@ -66,13 +66,42 @@ def pivot_distances(pivots: list[list[float]]):
         if len(v) == 0:
             return pd.Series([], dtype=object)
         X = np.vstack(v.to_numpy())
-        D = np.sqrt(np.maximum(((X[:, None, :] - P[None, :, :]) ** 2).sum(axis=2), 0.0))
+        D = np.empty((X.shape[0], P.shape[0]))
+        # exact differences (no |x|²+|p|²−2x·p cancellation: the bounds must not
+        # over-estimate), in chunks so the temporary stays ~16 MB
+        rows = max(1, 2_000_000 // max(1, P.shape[0] * P.shape[1]))
+        for i in range(0, X.shape[0], rows):
+            diff = X[i:i + rows, None, :] - P[None, :, :]
+            D[i:i + rows] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
         return pd.Series(list(D))
 
     dist.__annotations__ = {"v": pd.Series, "return": pd.Series}  # real types for the hint check
     return F.pandas_udf(dist, "array<double>")
 
 
+def probe_cells(radii: list[float]):
+    """Pandas UDF: the other non-empty cells whose triangle-inequality lower
+    bound ``d(q, pivot) − radius`` does not exceed the query's bound ``r_q``
+    (with a relative slack, so rounding can never prune a true neighbour)."""
+    import numpy as np
+    import pandas as pd
+
+    R = np.asarray(radii, dtype=np.float64)
+    empty = R < 0
+
+    def cells(pd_col, rq, own):
+        if len(pd_col) == 0:
+            return pd.Series([], dtype=object)
+        D = np.vstack(pd_col.to_numpy())
+        lim = rq.to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+        ok = ((D - R[None, :]) <= lim) & ~empty[None, :]
+        ok[np.arange(len(own)), own.to_numpy()] = False
+        return pd.Series([np.nonzero(r)[0].astype(np.int32) for r in ok])
+
+    cells.__annotations__ = {"pd_col": pd.Series, "rq": pd.Series, "own": pd.Series, "return": pd.Series}
+    return F.pandas_udf(cells, "array<int>")
+
+
 def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec") -> DataFrame:
     """Adds ``_pd`` (distances to every pivot), ``_cell`` and ``_dcell``."""
     out = points.withColumn("_pd", pivot_distances(pivots)(F.col(vec)))
@@ -81,7 +110,7 @@ def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec")
 
 
 def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_col: str = "id",
-             vec: str = "vec", exclude_self: bool = True, cell_target: int = 128,
+             vec: str = "vec", exclude_self: bool = True, cell_target: int = 64,
              seed: int = 42, block_rows: int = 256, collapse_copies: bool = True) -> DataFrame:
     """For every query row its ``k`` nearest rows of ``data`` (default: the
     same frame). Output: (id, rank, neighbor_id, distance), rank 1-based.
@@ -172,17 +201,11 @@ def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, v
     bound = own_top.groupBy("id").agg(F.max("dist").alias("_rq"), F.count(F.lit(1)).alias("_m"))
     bound = bound.select("id", F.when(F.col("_m") < k, F.lit(float("inf"))).otherwise(F.col("_rq")).alias("_rq"))
     # 2) other cells whose lower bound can beat r_q
-    radii = {c: rad for c, (rad, _) in stats.items()}  # ≤ MAX_PIVOTS numbers
-    rad_arr = F.array(*[F.lit(radii.get(i, -1.0)) for i in range(len(pivots))])
+    radii = [stats[c][0] if c in stats else -1.0 for c in range(len(pivots))]  # ≤ MAX_PIVOTS numbers
     probe = (dq.join(bound, "id", "left")
                .withColumn("_rq", F.coalesce(F.col("_rq"), F.lit(float("inf"))))
-               .select("id", "vec", "_cell", F.posexplode(F.zip_with(
-                   F.col("_pd"), rad_arr, lambda a, b: F.when(b < 0, F.lit(float("inf"))).otherwise(a - b)))
-                   .alias("_c", "_lb"), "_rq")
-               .where((F.col("_c") != F.col("_cell"))
-                      # small slack so float rounding can never prune a true neighbour
-                      & (F.col("_lb") <= F.col("_rq") * (1 + 1e-9) + 1e-12))
-               .select("id", "vec", F.col("_c").cast("int").alias("_cell")))
+               .select("id", "vec", F.explode(probe_cells(radii)(F.col("_pd"), F.col("_rq"), F.col("_cell")))
+                       .alias("_cell")))
     cand = own_top.select("id", "nid", "dist").unionByName(pairs(probe, "_cell"))
     if keep_ties:  # every neighbour tied with the k-th distance is kept
         ranked = cand.withColumn("rank", F.rank().over(Window.partitionBy("id").orderBy("dist"))) \
