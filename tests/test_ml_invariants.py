@@ -189,3 +189,47 @@ def test_knn_with_copy_groups_against_numpy(spark):
         order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (D[i, j], ids[j]))[:4]
         for r, j in enumerate(order, 1):
             assert got[(ids[i], r)] == ids[j]
+
+
+def _tree_fx(nodes, x, nid=None):
+    nid = min(nodes) if nid is None else nid
+    nd = nodes[nid]
+    if nd["left"] < 0:
+        return nd["value"]
+    return _tree_fx(nodes, x, nd["left"] if x[nd["feature"]] <= nd["thr"][0] else nd["right"])
+
+
+def test_background_attributions_equal_brute_force(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from turnstone.operators.treeshap import interventional_batch, pack, read_trees
+
+    rng = np.random.default_rng(4)
+    X = rng.random((300, 4))
+    y = ((X[:, 0] * X[:, 3] + 0.3 * X[:, 1] + 0.1 * rng.random(300)) > 0.4).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(l)) for i, (r, l) in enumerate(zip(X, y))],
+                               "id long, a double, b double, c double, d double, label int")
+    df = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(df)
+    model = GBTClassifier(maxIter=3, maxDepth=3, seed=2).fit(df)
+    trees = read_trees(model, spark)
+    bg = X[10:13]
+    xs = X[:4]
+    base, phi = interventional_batch(xs, bg, pack(trees), 4)
+
+    def f(z):
+        return 2 * sum(t["weight"] * _tree_fx(t["nodes"], z) for t in trees)
+    for r, x in enumerate(xs):
+        want = np.zeros(4)
+        for b in bg:
+            def v(S):
+                z = np.where([k in S for k in range(4)], x, b)
+                return f(z)
+            for j in range(4):
+                others = [k for k in range(4) if k != j]
+                for size in range(4):
+                    for S in itertools.combinations(others, size):
+                        w = math.factorial(size) * math.factorial(3 - size) / math.factorial(4)
+                        want[j] += w * (v(S + (j,)) - v(S)) / len(bg)
+        assert np.allclose(phi[r], want, atol=1e-9)
+        assert math.isclose(base + phi[r].sum(), f(x), abs_tol=1e-9)
