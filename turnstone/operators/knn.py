@@ -143,6 +143,8 @@ def _knn_self_collapsed(df: DataFrame, k: int, id_col: str, vec: str, cell_targe
     groups = materialize(few.groupBy("_vk", "vec").agg(
         F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("_ids"))
         .withColumn("_rep", F.element_at("_ids", 1)))
+    if groups.count() == d.count():  # no copies at all: search the rows directly
+        return _knn_core(d.select("id", "vec"), None, k, "id", "vec", True, cell_target, seed, block_rows)
     nn = _knn_core(groups.select(F.col("_rep").alias("id"), "vec"), None, k, "id", "vec", True,
                    cell_target, seed, block_rows, keep_ties=True)
     expanded = (nn.join(groups.select(F.col("_rep").alias("neighbor_id"), F.col("_ids").alias("_nids")), "neighbor_id")
@@ -169,8 +171,8 @@ def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, v
     pivots = _pivots(d, "id", "vec", n_piv, seed)
     dim = len(pivots[0]) if pivots else None
     # pivot distances are computed once per row (materialised: read by several passes)
-    dq = materialize(assign_cells(q, pivots))
-    dd = dq if same else materialize(assign_cells(d, pivots))
+    dq = materialize(assign_cells(q, pivots), expensive_last_stage=True)
+    dd = dq if same else materialize(assign_cells(d, pivots), expensive_last_stage=True)
     stats = {r["_cell"]: (float(r["_radius"]), int(r["_n"])) for r in
              dd.groupBy("_cell").agg(F.max("_dcell").alias("_radius"), F.count(F.lit(1)).alias("_n")).collect()}
     # Pair work of a cell is split into query blocks of ~block_rows rows; the

@@ -72,12 +72,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def materialize(df):
+def materialize(df, expensive_last_stage: bool = False):
     """Cut lineage for a frame that a multi-pass operator reads several times.
 
     Uses a reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir``
-    (never a machine-local folder), so a lost executor does not force the
-    upstream joins to be recomputed and every pass sees identical rows.
+    (never a machine-local folder, never ``localCheckpoint``), so a lost
+    executor does not force the upstream joins to be recomputed and every
+    pass sees identical rows. The checkpoint write re-runs the frame's last
+    stage; when that stage is costly (e.g. a Python UDF) pass
+    ``expensive_last_stage=True`` to cache it for the duration of the write.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not expensive_last_stage:
+        return df.checkpoint(eager=True)
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
