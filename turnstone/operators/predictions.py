@@ -64,6 +64,22 @@ def department_risk_rank(scored: DataFrame, dept: str = "Department",
     return scored.join(ranks, [dept, prob], "left")
 
 
+def display_positions(scored: DataFrame, dept: str = "Department", prob: str = "predicted_probability",
+                      key: str = "EmployeeNumber") -> DataFrame:
+    """1-based display position per department, riskiest first,
+    ties by key. Position = rows with a strictly higher score (from the
+    aggregated (department, score) counts) + rank by key among the tied rows
+    (a bucketed running count per (department, score)). Neither a large
+    department nor a heavily repeated score is ever one sorting task."""
+    from turnstone.operators.prefix import running_totals
+    levels = scored.groupBy(dept, prob).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = running_totals(levels, prob, ["_n"], descending=True, group=[dept]) \
+        .select(dept, prob, (F.col("cum__n") - F.col("_n")).alias("_ahead"))
+    within = running_totals(scored.withColumn("_one", F.lit(1)), key, ["_one"], group=[dept, prob])
+    return within.join(ahead, [dept, prob]).withColumn(
+        "position", (F.col("_ahead") + F.col("cum__one")).cast("long")).drop("_one", "cum__one", "_ahead")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """K5: rows of ``new`` replace rows of ``old`` with the same key."""
     return old.join(new.select(key), key, "left_anti").unionByName(new)

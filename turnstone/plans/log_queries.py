@@ -140,3 +140,17 @@ def q_sanity(spark, sf):
     emp = employees(spark, sf)
     out = pl.model_sanity(emp, s.select("EmployeeNumber", "predicted_probability"))
     return out.withColumn("mean_income", round_half_up("mean_income", 6))
+
+
+@register("display_ranking", on_employees("""
+SELECT Department, EmployeeNumber AS id, JobRole AS role, predicted_probability * 100 AS risk_percent,
+       CAST(row_number() OVER (PARTITION BY Department ORDER BY predicted_probability DESC, EmployeeNumber) AS BIGINT) AS position
+FROM scored""", SCORED_SQL), ops=("P27", "O2", "W4", "P19"))
+def q_display(spark, sf):
+    """Per department the team table, riskiest first: id, role, risk in percent
+    and the display position (ties by id). Ranks come from the bucketed
+    running count, so a large department is not one sorting task."""
+    s = scored(spark, sf).select("EmployeeNumber", "Department", "JobRole", "predicted_probability")
+    pos = pl.display_positions(s)
+    return pos.select("Department", F.col("EmployeeNumber").alias("id"), F.col("JobRole").alias("role"),
+                      (F.col("predicted_probability") * 100).alias("risk_percent"), "position")
