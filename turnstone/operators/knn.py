@@ -143,10 +143,12 @@ def _knn_self_collapsed(df: DataFrame, k: int, id_col: str, vec: str, cell_targe
     groups = materialize(few.groupBy("_vk", "vec").agg(
         F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("_ids"))
         .withColumn("_rep", F.element_at("_ids", 1)))
-    if groups.count() == d.count():  # no copies at all: search the rows directly
-        return _knn_core(d.select("id", "vec"), None, k, "id", "vec", True, cell_target, seed, block_rows)
+    n_rows, n_vecs = d.count(), groups.count()
+    if n_vecs == n_rows:  # no copies at all: search the rows directly
+        return _knn_core(d.select("id", "vec"), None, k, "id", "vec", True, cell_target, seed, block_rows,
+                         n_known=n_rows)
     nn = _knn_core(groups.select(F.col("_rep").alias("id"), "vec"), None, k, "id", "vec", True,
-                   cell_target, seed, block_rows, keep_ties=True)
+                   cell_target, seed, block_rows, keep_ties=True, n_known=n_vecs)
     expanded = (nn.join(groups.select(F.col("_rep").alias("neighbor_id"), F.col("_ids").alias("_nids")), "neighbor_id")
                   .select("id", "distance", F.explode("_nids").alias("nid")))
     own = groups.select(F.col("_rep").alias("id"), F.lit(0.0).alias("distance"), F.explode("_ids").alias("nid"))
@@ -161,12 +163,17 @@ def _knn_self_collapsed(df: DataFrame, k: int, id_col: str, vec: str, cell_targe
 
 
 def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, vec: str, exclude_self: bool,
-              cell_target: int, seed: int, block_rows: int, keep_ties: bool = False) -> DataFrame:
+              cell_target: int, seed: int, block_rows: int, keep_ties: bool = False,
+              n_known: int | None = None) -> DataFrame:
+    """``n_known``: the caller already materialised a self-join input of this
+    many rows (skip the extra checkpoint and count)."""
     same = data is None
     data = queries if same else data
-    d = materialize(data.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
+    d = data.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec"))
+    if n_known is None or not same:
+        d = materialize(d)
     q = d if same else materialize(queries.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
-    n = d.count()
+    n = n_known if (n_known is not None and same) else d.count()
     n_piv = max(1, min(MAX_PIVOTS, int(math.ceil(n / cell_target))))
     pivots = _pivots(d, "id", "vec", n_piv, seed)
     dim = len(pivots[0]) if pivots else None
