@@ -76,3 +76,14 @@ def test_standardise_population_std_and_constant(spark):
     out = fe.standardise(df).collect()
     assert [r["a"] for r in out] == [-1.0, 1.0]
     assert [r["b"] for r in out] == [0.0, 0.0]
+
+
+def test_category_values_with_dots_assemble(spark):
+    from turnstone.operators import model as ml
+    df = spark.createDataFrame([(1, "Sr. Manager", 3.0, "No"), (2, "Analyst", 4.0, "Yes"), (3, "a`b", 5.0, "No")],
+                               "EmployeeNumber long, JobRole string, MonthlyIncome double, Attrition string")
+    frame, vocab = fe.feature_pipeline(df)
+    assert "JobRole_Sr. Manager" in vocab.features
+    out = ml.assemble(frame, vocab).orderBy("EmployeeNumber").collect()
+    idx = vocab.features.index("JobRole_Sr. Manager")
+    assert [r["features"][idx] for r in out] == [1.0, 0.0, 0.0]

@@ -177,19 +177,24 @@ def apply_vocabulary(df: DataFrame, vocab: Vocabulary, keep=("EmployeeNumber",))
     exactly like the same row inside a batch.
     """
     present = set(df.columns)
-    out: list[Column] = [F.col(k) for k in keep if k in present]
+    out: list[Column] = [_c(k) for k in keep if k in present]
     for feat, src, cat in vocab.entries:
         if cat is not None:
             if src in present:
-                e = F.coalesce((F.col(src).cast("string") == F.lit(cat)).cast("double"), F.lit(0.0))
+                e = F.coalesce((_c(src).cast("string") == F.lit(cat)).cast("double"), F.lit(0.0))
             else:
                 e = F.lit(0.0)
         else:
-            e = F.col(src).cast("double") if src in present else F.lit(0.0)
+            e = _c(src).cast("double") if src in present else F.lit(0.0)
         out.append(e.alias(feat))
     return df.select(*out)
 
 
+def _c(name: str) -> Column:
+    """Column by its exact name (dots and backticks taken literally)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def one_hot(df: DataFrame, cat_cols: list[str] | None = None, keep=("EmployeeNumber",),
             drop_first: bool = True) -> DataFrame:
     """P10 on a frame by itself (fit + apply on the same rows)."""
