@@ -66,7 +66,7 @@ def engineer(df: DataFrame, key: str | None = "EmployeeNumber",
     cols = set(df.columns)
     keep_key = [key] if key and key in cols else []
     drop = [c for c in ADMIN_COLUMNS if c in cols]
-    exprs: list[Column] = [F.col(k) for k in keep_key]
+    exprs: list[Column] = [_c(k) for k in keep_key]
     if label and label in cols:
         exprs.append(yes_no_label(label))
     for c in df.columns:
@@ -75,7 +75,7 @@ def engineer(df: DataFrame, key: str | None = "EmployeeNumber",
         if c == "Gender":
             exprs.append(recode("Gender", GENDER_CODES).alias("Gender"))
         else:
-            exprs.append(F.col(c))
+            exprs.append(_c(c))
     if {"TotalWorkingYears", "NumCompaniesWorked"} <= cols:
         exprs.append(zero_guarded_ratio("TotalWorkingYears", "NumCompaniesWorked").alias(YEARS_PER_COMPANY))
     if "MonthlyIncome" in cols:
@@ -136,7 +136,7 @@ def category_levels(df: DataFrame, cat_cols: list[str]) -> DataFrame:
     if not cat_cols:
         return df.sparkSession.createDataFrame([], "source_col string, category string")
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("source_col"), F.col(c).cast("string").alias("category"))
+        F.struct(F.lit(c).alias("source_col"), _c(c).cast("string").alias("category"))
         for c in cat_cols]))
     return (df.select(pairs.alias("p")).select("p.source_col", "p.category")
               .where(F.col("category").isNotNull()).distinct())
