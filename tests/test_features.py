@@ -87,3 +87,14 @@ def test_category_values_with_dots_assemble(spark):
     out = ml.assemble(frame, vocab).orderBy("EmployeeNumber").collect()
     idx = vocab.features.index("JobRole_Sr. Manager")
     assert [r["features"][idx] for r in out] == [1.0, 0.0, 0.0]
+
+
+def test_describe_exact_and_approximate_agree(spark):
+    from turnstone.operators.profile import describe
+    df = spark.range(1, 1001).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 7).alias("y"))
+    exact = {r["column"]: r for r in describe(df, ["x", "y"], exact=True).collect()}
+    approx = {r["column"]: r for r in describe(df, ["x", "y"], exact=False).collect()}
+    assert exact["x"]["p50"] == 750.75 and exact["x"]["count"] == 1000.0
+    for c in ("x", "y"):
+        for s in ("p25", "p50", "p75"):
+            assert abs(exact[c][s] - approx[c][s]) <= 0.01 * max(1.0, abs(exact[c][s])) + 1.5
