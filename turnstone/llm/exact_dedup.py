@@ -38,7 +38,7 @@ def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     d = stage(digests(docs), "digests")
     # as text: Misra-Gries compares values, and byte arrays compare by identity there
     named = d.select(F.hex("digest").alias("hex")).stat.freqItems(["hex"], support)
-    named = named.select(F.unhex(F.explode("hex_freqItems")).alias("digest")).distinct()
+    named = named.select(F.explode("hex_freqItems").alias("hex")).select(F.unhex("hex").alias("digest")).distinct()
     least = F.lit(support * d.count())  # parquet footers answer the count
     grouped = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
     winners = stage(d.join(F.broadcast(named), "digest").groupBy("digest").agg(*grouped)
