@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstone.llm import decontaminate, exact_dedup
+from turnstone.llm import decontaminate, exact_dedup, minmax_dedup
 from turnstone.llm.shared import table
 
 
@@ -14,9 +14,14 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_exact_dedup)}
+def op9_minmax_dedup(spark, sf_dir):
+    return minmax_dedup.minmax_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_exact_dedup, op9_minmax_dedup)}
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op9_minmax_dedup": minmax_dedup.SQL,
 }
