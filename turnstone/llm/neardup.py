@@ -1,14 +1,24 @@
 """From band keys to verified components, for any kind of set.
 
 A bucket is all ids that share a band key. Instead of all pairs of a bucket,
-
-1. every id is laid against one pivot: of the smallest ids of its buckets, the
-   one it shares most buckets with. The true Jaccard similarity of the full
-   sets decides. The links give components.
-2. Only what is still undecided is paired: ids that share a bucket and lie in
-   different components, and whose sizes allow the threshold. Pairs within a
-   component cannot change the result, so a large group of near copies costs
-   one comparison per member, and still no link between components is missed.
+rounds of stars are compared:
+
+1. Every bucket that still holds ids of several components has one pivot, a
+   random member of its largest component; every id outside that component is
+   laid against one pivot, and the Jaccard similarity of the full sets decides.
+   Confirmed links join components, and the next round takes other pivots. A
+   round costs one comparison per undecided id. A large group of near copies
+   falls together in a few rounds, as each member links to a good part of it.
+2. What is still undecided after ``ROUNDS`` rounds, or when a round finds
+   nothing, goes through an exact prefix filter: shingles are ordered from rare
+   to common, and two sets can only reach the threshold if they share one of
+   their first few, at positions that leave room for the needed overlap, and if
+   the 512-bit parity maps of the sets differ in few enough bits (the maps never
+   differ in more bits than the sets do in shingles).
+   Members of a group that differ too much from all others are told apart by
+   their own rare shingles, without being compared. Pairs that pass are
+   compared; pairs within a component cannot change the result, so no link
+   between components is missed.
 
 Sizes and keys travel as longs; texts are joined only for ids that share a
 bucket with another id, and sets are made from the texts where they are
@@ -23,12 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from turnstone.llm.graph import components
 from turnstone.llm.shared import stage
 
 Sets = Callable[[pa.Array], Iterator[np.ndarray]]
 ROWS = 256
+ROUNDS = 3
+MAP = 512
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
@@ -65,32 +78,106 @@ def _verify(pairs: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: in
 
 def near_components(bands: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets_of: Sets,
                     num: int, den: int) -> DataFrame:
-    """(id, component) of all ids with a link.
+    """(id, component) of all ids that share a bucket; component is the smallest id reachable.
 
     ``bands``: (key, id, n) with n the size of the id's set, read several times,
     so staged by the caller. ``fetch`` gives (id, text) for a table of ids.
     """
-    buckets = stage(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
-                    .where("pivot < last").select("key", "pivot"), "buckets")
-    members = stage(bands.join(buckets, "key"), "members")
-    texts = stage(fetch(members.select("id").distinct()), "texts")
-    best = (members.where("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("id").agg(F.max(F.struct(F.col("c"), (-F.col("pivot")).alias("p"))).alias("b")))
-    stars = stage(best.select(F.col("id").alias("u"), (-F.col("b.p")).alias("v")), "stars")
-    links = stage(_verify(stars, texts, sets_of, num, den), "verified")
-    comp = stage(components(links), "components")
-
-    placed = members.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    placed = stage(placed, "placed")
-    split = stage(placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    buckets = stage(bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                    .where("low < high").select("key"), "buckets")
+    place = stage(bands.join(buckets, "key").select("key", "id", "n", F.col("id").alias("c")), "place")
+    comp = stage(place.select("id").distinct().withColumn("component", F.col("id")), "component")
+    texts = stage(fetch(comp.select("id")), "texts")
+    tested = None
+    for turn in range(ROUNDS):
+        stars = _stars(place, turn)
+        if tested is not None:
+            stars = stars.join(tested, ["u", "v"], "left_anti")
+        stars = stage(stars, "stars")
+        tested = stars.select("u", "v") if tested is None else tested.unionByName(stars.select("u", "v"))
+        links = stage(_verify(stars.select("u", "v"), texts, sets_of, num, den).join(stars, ["u", "v"]), "verified")
+        moved = stage(components(links, "cu", "cv"), "moved")
+        if not moved.limit(1).count():
+            break
+        comp = stage(_relabel(comp, "component", moved), "component")
+        place = _undecided(_relabel(place, "c", moved))
+    pairs = _cross_pairs(place, texts, sets_of, num, den)
+    if tested is not None:
+        both = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        pairs = pairs.join(both, ["u", "v"], "left_anti")
+    pairs = stage(pairs, "pairs")
+    more = stage(_verify(pairs.select("u", "v"), texts, sets_of, num, den).join(pairs, ["u", "v"]), "verified")
+    return _relabel(comp, "component", components(more, "cu", "cv"))
+
+
+def _relabel(df: DataFrame, name: str, moved: DataFrame) -> DataFrame:
+    """``df`` with the component in ``name`` replaced where ``moved`` (id, component) has a new one."""
+    new = moved.select(F.col("id").alias(name), F.col("component").alias("new_label"))
+    rest = [c for c in df.columns if c != name]
+    return df.join(new, name, "left").select(*rest, F.coalesce("new_label", name).alias(name))
+
+
+def _undecided(place: DataFrame) -> DataFrame:
+    """Only the buckets that still hold several components."""
+    place = stage(place, "place")
+    split = stage(place.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
                   .where("low < high").select("key"), "split")
-    loose = stage(placed.join(split, "key", "left_semi"), "loose")
-    left, right = loose.alias("l"), loose.alias("r")
-    pairs = (left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.c") < F.col("r.c"))
-                       & (F.col("l.n") * den >= F.col("r.n") * num) & (F.col("r.n") * den >= F.col("l.n") * num))
-             .select(F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v")).distinct())
-    pairs = stage(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
-    more = stage(_verify(pairs, texts, sets_of, num, den), "verified")
-    if not more.limit(1).count():
-        return comp
-    return components(links.unionByName(more))
+    return stage(place.join(split, "key", "left_semi"), "place")
+
+
+def _stars(place: DataFrame, turn: int) -> DataFrame:
+    """(u, v, cu, cv): every id outside the largest component of its buckets, against one pivot."""
+    size = stage(place.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("m")), "sizes")
+    sized = stage(place.join(size, "c"), "sized")
+    pivot = stage(sized.groupBy("key").agg(
+        F.max(F.struct("m", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")).alias("p"))
+        .select("key", F.col("p.id").alias("v"), F.col("p.c").alias("cv"), F.col("p.m").alias("mv"), F.col("p.h").alias("h")), "pivots")
+    near = sized.join(pivot, "key").where("c <> cv").groupBy("id", "c", "v", "cv", "mv", "h").agg(F.count(F.lit(1)).alias("shared"))
+    best = near.groupBy("id", "c").agg(F.max(F.struct("mv", "shared", "h", "v", "cv")).alias("b"))
+    return best.select(F.col("id").alias("u"), F.col("b.v").alias("v"), F.col("c").alias("cu"), F.col("b.cv").alias("cv"))
+
+
+def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
+    """(u, v, cu, cv): all pairs of different components that can reach num/den, by prefix and position."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                sets = list(sets_of(part.column(2)))
+                size = np.array([len(x) for x in sets], np.int64)
+                at = pa.array(np.repeat(np.arange(len(sets)), size))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(np.repeat(size, size)),
+                     pa.array(np.concatenate(sets).view(np.int64))], ["id", "c", "n", "g"])
+
+    def maps(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                bits = np.stack([np.bincount((x >> np.uint64(20) & np.uint64(MAP - 1)).astype(np.int64), minlength=MAP) & 1
+                                 for x in sets_of(part.column(2))]).astype(np.uint8)
+                words = np.packbits(bits, axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(MAP // 64))],
+                    ["id", *names])
+
+    names = [f"b{k}" for k in range(MAP // 64)]
+    ids = stage(place.select("id", "c").distinct().join(texts, "id").select("id", "c", "text"), "undecided")
+    rows = ids.mapInArrow(run, "id bigint, c bigint, n bigint, g bigint")
+    common = stage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
+    mine = W.partitionBy("id")
+    rows = rows.join(common, "g").select(
+        "id", "c", "n", "g", (F.col("n") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("df", "g")) - 1)
+        .alias("p"))  # place in the order from rare to common; shingles of one set only come first
+    parity = ids.mapInArrow(maps, "id bigint, " + ", ".join(f"{b} bigint" for b in names))
+    prefix = stage(rows.where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * num / den)).join(parity, "id"), "prefix")
+    l, r = prefix.alias("l"), prefix.alias("r")
+    differ = sum(F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"r.{b}"))) for b in names)
+    room = F.least(F.col("l.n") - F.col("l.p"), F.col("r.n") - F.col("r.p"))
+    return (l.join(r, (F.col("l.g") == F.col("r.g")) & (F.col("l.c") < F.col("r.c"))
+                   & (F.col("l.n") * den >= F.col("r.n") * num) & (F.col("r.n") * den >= F.col("l.n") * num)
+                   & (room * (num + den) >= (F.col("l.n") + F.col("r.n")) * num)
+                   & (differ * (num + den) <= (F.col("l.n") + F.col("r.n")) * (den - num)))
+            .select(F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v"),
+                    F.least("l.c", "r.c").alias("cu"), F.greatest("l.c", "r.c").alias("cv")).distinct())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstone.llm import decontaminate, exact_dedup, minmax_dedup
+from turnstone.llm import decontaminate, exact_dedup, minmax_dedup, packing
 from turnstone.llm.shared import table
 
 
@@ -10,6 +10,10 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -18,7 +22,7 @@ def op9_minmax_dedup(spark, sf_dir):
     return minmax_dedup.minmax_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_exact_dedup, op9_minmax_dedup)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_packing, op4_exact_dedup, op9_minmax_dedup)}
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
