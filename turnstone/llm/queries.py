@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstone.llm import decontaminate, exact_dedup, minmax_dedup, packing, toxicity
+from turnstone.llm import decontaminate, exact_dedup, minmax_dedup, packing, phrase_dedup, toxicity
 from turnstone.llm.shared import table
 
 
@@ -18,6 +18,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_phrase_dedup(spark, sf_dir):
+    return phrase_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -27,10 +31,11 @@ def op9_minmax_dedup(spark, sf_dir):
     return minmax_dedup.minmax_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_packing, op4_exact_dedup, op8_toxicity, op9_minmax_dedup)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_packing, op4_exact_dedup, op6_phrase_dedup, op8_toxicity, op9_minmax_dedup)}
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op6_phrase_dedup": phrase_dedup.SQL,
     "op9_minmax_dedup": minmax_dedup.SQL,
 }
