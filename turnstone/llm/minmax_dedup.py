@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, U64, Words, as_long, grams, mix, run_hash, prefix_sums, P_WORD,
                                   slices, text_array)
-from turnstone.llm.neardup import near_components
+from turnstone.llm.neardup import near_components, shared_keys
 from turnstone.llm.shared import stage
 
 SHINGLE = 4
@@ -139,12 +139,12 @@ def minmax_dedup(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = D
     some = f.where("n > 0 AND doc_id IS NOT NULL")
     reps = stage(some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
     first = some.join(reps.select("d1", "d2", "n", F.col("rep").alias("doc_id")), ["d1", "d2", "n", "doc_id"], "left_semi")
-    bands = stage(first.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n").distinct(), "bands")
+    bands = stage(first.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id")).distinct(), "bands")
 
     def fetch(ids: DataFrame) -> DataFrame:
         return docs.select(docs["doc_id"].alias("id"), docs["text"]).join(ids, "id", "left_semi")
 
-    comp = stage(near_components(bands, fetch, lambda column: shingle_sets(column, k), num, den), "components")
+    comp = stage(near_components(shared_keys(bands), fetch, lambda column: shingle_sets(column, k), num, den), "components")
     moved = stage(reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
                   .select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id")), "moved")
     placed = f.select("doc_id", "n", "d1", "d2").join(moved, ["d1", "d2", "n"], "left")

@@ -20,7 +20,7 @@ rounds of stars are compared:
    compared; pairs within a component cannot change the result, so no link
    between components is missed.
 
-Sizes and keys travel as longs; texts are joined only for ids that share a
+Ids and keys travel as longs; texts are joined only for ids that share a
 bucket with another id, and sets are made from the texts where they are
 compared.
 """
@@ -76,16 +76,20 @@ def _verify(pairs: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: in
     return both.mapInArrow(run, "u bigint, v bigint")
 
 
-def near_components(bands: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets_of: Sets,
+def shared_keys(bands: DataFrame) -> DataFrame:
+    """The rows (key, id) of ``bands`` whose key has several ids; ``bands`` is read twice, so staged by the caller."""
+    several = stage(bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                    .where("low < high").select("key"), "buckets")
+    return bands.join(several, "key", "left_semi")
+
+
+def near_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets_of: Sets,
                     num: int, den: int) -> DataFrame:
-    """(id, component) of all ids that share a bucket; component is the smallest id reachable.
+    """(id, component) of all ids that share a key with another; component is the smallest id reachable.
 
-    ``bands``: (key, id, n) with n the size of the id's set, read several times,
-    so staged by the caller. ``fetch`` gives (id, text) for a table of ids.
+    ``members``: distinct (key, id) of the keys with several ids. ``fetch`` gives (id, text) for a table of ids.
     """
-    buckets = stage(bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-                    .where("low < high").select("key"), "buckets")
-    place = stage(bands.join(buckets, "key").select("key", "id", "n", F.col("id").alias("c")), "place")
+    place = stage(members.select("key", "id", F.col("id").alias("c")), "place")
     comp = stage(place.select("id").distinct().withColumn("component", F.col("id")), "component")
     texts = stage(fetch(comp.select("id")), "texts")
     tested = None

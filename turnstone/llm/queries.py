@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from turnstone.llm import (chat, decontaminate, exact_dedup, html_text, minmax_dedup, packing, phrase_dedup, toxicity,
-                           wordpiece)
+from turnstone.llm import (chat, decontaminate, exact_dedup, html_text, line_dedup, minmax_dedup, packing, phrase_dedup,
+                           toxicity, wordpiece)
 from turnstone.llm.shared import table
 
 
@@ -23,6 +23,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.find_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_phrase_dedup(spark, sf_dir):
     return phrase_dedup.drop_repeats(table(spark, sf_dir, "documents"))
 
@@ -50,8 +54,8 @@ def op10_html_text(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_decontaminate, op3_packing, op4_exact_dedup, op6_phrase_dedup, op7_chat, op8_toxicity,
-    op9_minmax_dedup, op10_html_text)}
+    op1_token_counts, op2_decontaminate, op3_packing, op4_exact_dedup, op5_line_dedup, op6_phrase_dedup, op7_chat,
+    op8_toxicity, op9_minmax_dedup, op10_html_text)}
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
