@@ -98,3 +98,31 @@ def test_describe_exact_and_approximate_agree(spark):
     for c in ("x", "y"):
         for s in ("p25", "p50", "p75"):
             assert abs(exact[c][s] - approx[c][s]) <= 0.01 * max(1.0, abs(exact[c][s])) + 1.5
+
+
+def test_describe_keeps_a_column_without_values(spark):
+    from turnstone.operators.profile import describe, describe_equality
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = {r["column"]: r for r in describe(df, ["a", "b"]).collect()}
+    assert got["a"]["p50"] == 1.5 and got["b"]["count"] == 0 and got["b"]["p50"] is None
+    assert {r["column"]: r["identical"] for r in describe_equality(df, df, ["a", "b"]).collect()} == {"a": True, "b": True}
+
+
+def test_only_a_missing_path_means_default(spark, tmp_path):
+    import pytest
+    from turnstone.operators.model import load_params
+    from turnstone.sources import io
+    assert io.load_threshold(spark, str(tmp_path / "none"), 0.4) == 0.4
+    assert load_params(spark, str(tmp_path / "none")) == {}
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        io.load_threshold(spark, str(tmp_path / "bad"))
+
+
+def test_fallback_for_an_empty_table(spark, tmp_path):
+    from turnstone.sources import io
+    path = str(tmp_path / "csv")
+    io.write_csv(spark.createDataFrame([(1, "x")], "a int, b string"), path)
+    spark.createDataFrame([], "a int, b string").createOrReplaceTempView("no_rows")
+    assert [tuple(r) for r in io.load_with_fallback(spark, "no_rows", path, "a int, b string").collect()] == [(1, "x")]

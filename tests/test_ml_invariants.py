@@ -233,3 +233,36 @@ def test_background_attributions_equal_brute_force(spark):
                         want[j] += w * (v(S + (j,)) - v(S)) / len(bg)
         assert np.allclose(phi[r], want, atol=1e-9)
         assert math.isclose(base + phi[r].sum(), f(x), abs_tol=1e-9)
+
+
+def test_knn_between_two_frames_keeps_equal_ids(spark):
+    from turnstone.operators.knn import knn_join
+    q = spark.createDataFrame([(1, [0.0, 0.0])], "id long, vec array<double>")
+    d = spark.createDataFrame([(1, [0.1, 0.0]), (2, [5.0, 5.0])], "id long, vec array<double>")
+    assert [(r["neighbor_id"], round(r["distance"], 6)) for r in knn_join(q, d, k=1).collect()] == [(1, 0.1)]
+
+
+def test_stored_parameters_split_trees(spark):
+    from turnstone.operators import model as ml
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(400).selectExpr("id AS EmployeeNumber", "id % 7 AS x", "id % 11 AS y",
+                                     "CAST((id % 7 > 3) != (id % 11 > 5) AS double) AS label")
+    df = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
+    m = ml.fit(df, {"n_estimators": 3, "max_depth": 4, "gamma": 0.327, "min_child_weight": 3}, resample=False)
+    assert all(t.numNodes > 5 for t in m.trees)
+
+
+def test_ranges_grow_with_rows(spark):
+    from pyspark.sql import functions as F
+    from turnstone.operators import prefix
+    df = spark.range(3000).selectExpr("id AS k", "1 AS n")
+    few = prefix.range_bucket(df, [F.asc("k")]).agg(F.countDistinct("_bucket")).first()[0]
+    old, prefix.ROWS_PER_RANGE = prefix.ROWS_PER_RANGE, 100
+    try:
+        many = prefix.range_bucket(df, [F.asc("k")])
+        assert many.agg(F.countDistinct("_bucket")).first()[0] > few
+        assert many.groupBy("_bucket").count().agg(F.max("count")).first()[0] <= 300
+        got = prefix.running_totals(df, "k", ["n"], descending=True).where("cum_n <> 3000 - k").count()
+    finally:
+        prefix.ROWS_PER_RANGE = old
+    assert got == 0

@@ -110,15 +110,18 @@ def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec")
 
 
 def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_col: str = "id",
-             vec: str = "vec", exclude_self: bool = True, cell_target: int = 64,
+             vec: str = "vec", exclude_self: bool | None = None, cell_target: int = 64,
              seed: int = 42, block_rows: int = 256, collapse_copies: bool = True) -> DataFrame:
     """For every query row its ``k`` nearest rows of ``data`` (default: the
     same frame). Output: (id, rank, neighbor_id, distance), rank 1-based.
+    By default a row is left out of its own neighbours in a self-join only.
 
     For a self-join, exact copies are collapsed first (``collapse_copies``):
     the search runs on distinct vectors, so a group of identical vectors —
     even a third of all rows — is one point, not a quadratic block of pairs.
     """
+    if exclude_self is None:  # equal ids of two different frames are different rows
+        exclude_self = data is None
     if data is None and collapse_copies:
         return _knn_self_collapsed(queries, k, id_col, vec, cell_target, seed, block_rows)
     return _knn_core(queries, data, k, id_col, vec, exclude_self, cell_target, seed, block_rows)

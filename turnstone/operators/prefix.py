@@ -1,124 +1,72 @@
 """Distributed prefix sums and exact order statistics (W2, A8 exact quantiles).
 
-A ``Window`` without ``partitionBy`` pulls every row into one task. Here the
-ordered key is cut into ``buckets`` contiguous ranges (bounds from
-``percentile_approx``, collected: ``buckets`` numbers), per-bucket totals
-(``buckets`` rows) are turned into offsets on a tiny frame that is then
-broadcast, and the running sum inside each bucket is a window partitioned by
-the bucket. Callers pass distinct keys (aggregate first), so no bucket can
-hold a hot key.
+A ``Window`` without ``partitionBy`` pulls every row into one task. Here one
+range shuffle cuts the ordered rows into contiguous ranges, whose number grows
+with the row count, and the result is materialised with its range id. Per-range
+totals (one row per range) are turned into offsets, and the running sum inside
+each range is a window partitioned by the range. Callers pass distinct keys
+(aggregate first), so no range can hold a hot key.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.session import materialize
 
-DEFAULT_BUCKETS = 64
+ROWS_PER_RANGE = 100_000
+
 
+def range_bucket(df: DataFrame, order: list, buckets: int | None = None, col: str = "_bucket") -> DataFrame:
+    """``df`` range-partitioned by ``order``, materialised with a range id that ascends in that order.
 
-def range_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
-                 descending: bool = False, col: str = "_bucket") -> DataFrame:
-    """Adds a monotone bucket id (0 = first in the requested order)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("b")).first()["b"]
-    bounds = sorted(set(b for b in (bounds or []) if b is not None))
-    x = F.col(key).cast("double")
-    # Number of bounds strictly below x → bucket in ascending order.
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    asc = F.size(F.filter(arr, lambda b: b < x))
-    b = (F.lit(len(bounds)) - asc) if descending else asc
-    return df.withColumn(col, b.cast("int"))
+    Without ``buckets`` there are as many ranges as the session has shuffle
+    partitions, and more once a range would exceed ``ROWS_PER_RANGE`` rows
+    (``df`` is counted, so it should be materialised then).
+    """
+    if buckets is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, math.ceil(df.count() / ROWS_PER_RANGE))
+    # the bounds are sampled: materialising keeps them the same for all readers
+    return materialize(df.repartitionByRange(buckets, *order).withColumn(col, F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, key: str, sums: list[str], descending: bool = False,
-                   tiebreak: list[str] | None = None, buckets: int = DEFAULT_BUCKETS,
-                   prefix: str = "cum_", group: list[str] | None = None) -> DataFrame:
+                   tiebreak: list[str] | None = None, buckets: int | None = None,
+                   prefix: str = "cum_", group: list[str] | None = None, materialized: bool = False) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over all rows up to and including this
     one in ``key`` order (ties broken by ``tiebreak``), restarting per
-    ``group`` when given. A large group is still cut into ``buckets``
-    ranges (bounds per group), so it never becomes one window task."""
+    ``group`` when given. Ranges run over (group, key), so a large group spans
+    several of them and never becomes one window task. ``materialized`` says
+    that ``df`` already is a checkpoint."""
     group = group or []
     order = [F.desc(key) if descending else F.asc(key)] + [F.asc(t) for t in (tiebreak or [])]
-    df = materialize(df)  # read by the bounds pass, the totals and the final window
-    if group:
-        b = _group_bucket(df, key, group, buckets, descending)
-    else:
-        b = range_bucket(df, key, buckets, descending)
+    df = df if materialized else materialize(df)
+    b = range_bucket(df, [*group, *order], buckets)
     totals = b.groupBy(*group, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     w_small = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_small), F.lit(0))
                                                  .alias(f"_o_{c}") for c in sums])
     w = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # offsets: groups × buckets rows; small when the group count is bounded
-    off = offsets if group else F.broadcast(offsets)
-    out = b.join(off, [*group, "_bucket"])
+    keys = [*group, "_bucket"]
+    offsets = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], *[f"_o_{c}" for c in sums])
+    on = F.lit(True)
+    for i, c in enumerate(keys):  # null-safe: a null group value is a group of its own
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    out = b.join(offsets, on).drop(*[f"_k{i}" for i in range(len(keys))])
     for c in sums:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.sum(c).over(w))
     return out.drop("_bucket", *[f"_o_{c}" for c in sums])
 
 
-def _group_bucket(df: DataFrame, key: str, group: list[str], buckets: int, descending: bool) -> DataFrame:
-    """Monotone bucket of ``key`` within each group (bounds per group from
-    ``percentile_approx``, one row per group, joined back)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*group).agg(
-        F.array_distinct(F.percentile_approx(F.col(key).cast("double"), probs, 10_000)).alias("_bounds"))
-    x = F.col(key).cast("double")
-    asc = F.size(F.filter(F.col("_bounds"), lambda v: v < x))
-    b = (F.size("_bounds") - asc) if descending else asc
-    return df.join(bounds, group).withColumn("_bucket", b.cast("int")).drop("_bounds")
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact quantiles with linear interpolation between closest ranks.
-
-    Values are first reduced to (value, count), so repeated values cost one
-    row; ranks come from ``running_totals``; the two order statistics around
-    each requested position are picked by a range test against the
-    cumulative counts, and interpolated. Output: (prob, value).
-    """
-    sp = df.sparkSession
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    counts = materialize(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    cum = running_totals(counts, "v", ["n"], buckets=buckets).withColumn(
-        "first_rank", F.col("cum_n") - F.col("n"))  # 0-based rank of the first copy
-    nr = counts.agg(F.sum("n").alias("N")).first()["N"] or 0
-    if nr == 0:
-        return sp.createDataFrame([(float(p), None) for p in probs], "prob double, value double")
-    targets = []
-    for p in probs:
-        h = (nr - 1) * p
-        lo = int(h // 1)
-        hi = min(lo + 1, nr - 1) if h > lo else lo
-        targets.append((float(p), lo, hi, float(h - lo)))
-    # Each requested rank is matched by a range test in one projection over
-    # the (value, cumulative count) rows: no join, one pass.
-    hits = []
-    for i, (p, lo, hi, frac) in enumerate(targets):
-        for which, r in (("lo", lo), ("hi", hi)):
-            inside = (F.lit(r) >= F.col("first_rank")) & (F.lit(r) < F.col("cum_n"))
-            hits.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.lit(which).alias("which"),
-                                                F.col("v").alias("v"))))
-    found = (cum.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-                .groupBy(F.col("h.i").alias("i"))
-                .agg(F.max(F.when(F.col("h.which") == "lo", F.col("h.v"))).alias("vlo"),
-                     F.max(F.when(F.col("h.which") == "hi", F.col("h.v"))).alias("vhi")))
-    t = sp.createDataFrame([(i, p, frac) for i, (p, _, _, frac) in enumerate(targets)],
-                           "i int, prob double, frac double")
-    return (found.join(F.broadcast(t), "i")
-                 .select("prob", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value")))
-
-
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
-                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``exact_quantiles`` for several columns in one set of jobs.
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation between closest ranks, for several columns in one set of jobs.
 
     Columns are stacked to (column index, value) and reduced to counts per
-    distinct value; the running count restarts per column (grouped, bucketed
+    distinct value; the running count restarts per column (grouped, ranged
     prefix sum). Output: (column, prob, value)."""
     sp = df.sparkSession
     stacked = df.select(F.explode(F.array(*[
@@ -126,7 +74,7 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     counts = materialize(stacked.select("x.c", "x.v").where(F.col("v").isNotNull())
                          .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
     totals = {r["c"]: r["N"] for r in counts.groupBy("c").agg(F.sum("n").alias("N")).collect()}
-    cum = running_totals(counts, "v", ["n"], buckets=buckets, group=["c"]).withColumn(
+    cum = running_totals(counts, "v", ["n"], group=["c"], materialized=True).withColumn(
         "first_rank", F.col("cum_n") - F.col("n"))
     hits, meta = [], []
     for ci, c in enumerate(cols):

@@ -17,23 +17,15 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
-    """Share of rows per value; the total is a one-row aggregate
-    attached by a broadcast join, so no window gathers the distinct values."""
+    """Share of rows per value; the total is the sum of the grouped
+    counts, attached as a scalar, so no window gathers the distinct values."""
     from turnstone.operators.metrics import attach_totals
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = counts.agg(F.sum("count").alias("_total"))
     return (attach_totals(counts, total).withColumn("share", F.col("count") / F.col("_total"))
                   .drop("_total").orderBy(F.desc("count"), col))
 
 
-def share_of(df: DataFrame, col: str, value, by: str | None = None) -> DataFrame:
-    """A7 with ``.get(value, 0)``: share of ``value`` (0 when absent) per group."""
-    hit = F.sum(F.when(F.col(col) == F.lit(value), 1).otherwise(0))
-    total = F.count(F.lit(1))
-    g = df.groupBy(by) if by else df.groupBy()
-    return g.agg((F.coalesce(hit, F.lit(0)) / total).alias("share"))
-
-
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75% (linear interpolation), max.
 
@@ -69,7 +61,8 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
     q = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
     quart = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
                                       for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    return moments.join(F.broadcast(quart), "column").select(
+    # left: a column without values has no quartiles, but keeps its row
+    return moments.join(F.broadcast(quart), "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

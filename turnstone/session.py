@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,7 +32,7 @@ def build_session(master: str | None = None, app: str = "turnstone",
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor (ignored once a JVM runs)
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -45,12 +46,14 @@ def build_session(master: str | None = None, app: str = "turnstone",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private scratch folder is
-    created and registered, so lineage cuts never land on a machine-local path
-    on a real cluster.
+    Only in local mode, when the setting is absent (tests), a private scratch
+    folder is created and registered. On a cluster an unset folder is an error:
+    executors would write to their own disks and later reads would miss rows.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = _LOCAL_BASE.get(id(sc)) or tempfile.mkdtemp(prefix="turnstone-ckpt-")
         _LOCAL_BASE[id(sc)] = path
