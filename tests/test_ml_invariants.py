@@ -266,3 +266,34 @@ def test_ranges_grow_with_rows(spark):
     finally:
         prefix.ROWS_PER_RANGE = old
     assert got == 0
+
+
+def test_stratified_folds_are_level_within_each_label(spark):
+    from turnstone.operators.split import stratified_fold_column
+    df = spark.range(503).selectExpr("id AS EmployeeNumber", "CAST(id % 29 = 0 AS int) AS label")
+    got = stratified_fold_column(df, k=5).groupBy("label", "fold").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in got if r["label"] == y]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def _causal(spark, n=600):
+    return spark.range(n).selectExpr("id", "pmod(xxhash64(id, 1), 1000) / 1000.0D AS x",
+                                     "CAST(pmod(xxhash64(id, 2), 2) AS int) AS t", "CAST(pmod(xxhash64(id, 3), 2) AS int) AS y")
+
+
+def test_unobserved_cause_starts_at_the_estimate_and_moves_it_up(spark):
+    df = _causal(spark)
+    plain = ca.psm_effect(df, "t", "y", ["x"], "id").first()["ate"]
+    got = {r["strength"]: r["effect"] for r in
+           ca.refute_unobserved_common_cause(df, "t", "y", ["x"], "id", strengths=[0.0, 0.6]).collect()}
+    assert abs(got[0.0] - plain) < 1e-12 and got[0.6] > plain
+
+
+def test_null_confounders_leave_the_row_out(spark):
+    from pyspark.sql import functions as F
+    df = _causal(spark).withColumn("x", F.when(F.col("id") >= 10, F.col("x")))
+    got = ca.psm_effect(df, "t", "y", ["x", "absent"], "id").first()
+    assert got["n_treated"] + got["n_control"] == 590
+    rep = {r["confounder"]: (r["kept"], r["null_rows"]) for r in ca.confounder_report(df, ["x", "absent"]).collect()}
+    assert rep == {"x": (True, 10), "absent": (False, None)}

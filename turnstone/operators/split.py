@@ -136,3 +136,17 @@ def fold_column(df: DataFrame, key: str = "EmployeeNumber", k: int = 5, seed: in
                 col: str = "fold") -> DataFrame:
     """M8: fold id in [0, k) from the key hash (salted differently from the split)."""
     return df.withColumn(col, key_hash(key, seed + 7919, k).cast("int"))
+
+
+def stratified_fold_column(df: DataFrame, label: str = "label", key: str = "EmployeeNumber", k: int = 5,
+                           seed: int = 42, col: str = "fold") -> DataFrame:
+    """M8: folds whose sizes differ by at most one row within each label.
+
+    Rows are ranked by key hash within their label (a ranged running count, so
+    a large class is not one task), and the rank modulo ``k`` is the fold.
+    ``key`` must be unique."""
+    from turnstone.operators.prefix import running_totals
+    narrow = df.select(key, label, key_hash(key, seed + 7919, 1 << 60).alias("_h"), F.lit(1).alias("_one"))
+    ranked = running_totals(narrow, "_h", ["_one"], tiebreak=[key], group=[label])
+    folds = ranked.select(key, ((F.col("cum__one") - 1) % k).cast("int").alias(col))
+    return df.join(folds, key)
