@@ -1,14 +1,13 @@
 """From band keys to verified components, for any kind of set.
 
 A bucket is all ids that share a band key. Instead of all pairs of a bucket,
-rounds of stars are compared:
+rounds of stars are compared (``ROUNDS``; the first two join the bulk of a group):
 
 1. Every bucket that still holds ids of several components has one pivot, a
    random member of its largest component; every id outside that component is
    laid against one pivot, and the Jaccard similarity of the full sets decides.
    Confirmed links join components, and the next round takes other pivots. A
-   round costs one comparison per undecided id. A large group of near copies
-   falls together in a few rounds, as each member links to a good part of it.
+   round costs one comparison per undecided id.
 2. What is still undecided after ``ROUNDS`` rounds, or when a round finds
    nothing, goes through an exact prefix filter: shingles are ordered from rare
    to common, and two sets can only reach the threshold if they share one of
@@ -40,7 +39,7 @@ from turnstone.llm.shared import stage
 
 Sets = Callable[[pa.Array], Iterator[np.ndarray]]
 ROWS = 256
-ROUNDS = 3
+ROUNDS = 2
 MAP = 512
 
 
@@ -131,8 +130,11 @@ def _undecided(place: DataFrame) -> DataFrame:
 
 def _stars(place: DataFrame, turn: int) -> DataFrame:
     """(u, v, cu, cv): every id outside the largest component of its buckets, against one pivot."""
-    size = stage(place.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("m")), "sizes")
-    sized = stage(place.join(size, "c"), "sized")
+    if turn:
+        size = stage(place.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("m")), "sizes")
+        sized = stage(place.join(size, "c"), "sized")
+    else:  # every id is its own component yet
+        sized = place.withColumn("m", F.lit(1).cast("bigint"))
     pivot = stage(sized.groupBy("key").agg(
         F.max(F.struct("m", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")).alias("p"))
         .select("key", F.col("p.id").alias("v"), F.col("p.c").alias("cv"), F.col("p.m").alias("mv"), F.col("p.h").alias("h")), "pivots")
