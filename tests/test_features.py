@@ -126,3 +126,24 @@ def test_fallback_for_an_empty_table(spark, tmp_path):
     io.write_csv(spark.createDataFrame([(1, "x")], "a int, b string"), path)
     spark.createDataFrame([], "a int, b string").createOrReplaceTempView("no_rows")
     assert [tuple(r) for r in io.load_with_fallback(spark, "no_rows", path, "a int, b string").collect()] == [(1, "x")]
+
+
+def test_full_record_gives_49_features(spark, tmp_path):
+    """34 inputs and the target, read as JSON request records with the stated schema."""
+    import json
+    from turnstone.operators.features import feature_pipeline
+    from turnstone.sources import io
+    levels = {"BusinessTravel": 3, "Department": 3, "EducationField": 6, "JobRole": 9, "MaritalStatus": 3}
+    rows = []
+    for i in range(36):
+        r = {c: (i * 7 + j) % 40 + 1 for j, c in enumerate(io.INT_FIELDS)}
+        r |= {c: f"{c}{i % n}" for c, n in levels.items()}
+        r |= {"EmployeeNumber": i, "EmployeeCount": 1, "StandardHours": 80, "Over18": "Y", "Gender": ["Male", "Female"][i % 2],
+              "OverTime": ["Yes", "No"][i % 2], "Attrition": ["No", "Yes"][i % 4 == 0]}
+        rows.append(json.dumps(r))
+    (tmp_path / "records.json").write_text("\n".join(rows))
+    df = io.read_json(spark, str(tmp_path / "records.json"), io.EMPLOYEE_SCHEMA)
+    assert len(df.columns) == 35
+    frame, vocab = feature_pipeline(df)
+    assert len(vocab) == 49 and frame.count() == 36
+    assert not {"EmployeeNumber", "Attrition", "EmployeeCount", "StandardHours", "Over18"} & set(vocab.features)

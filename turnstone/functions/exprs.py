@@ -51,10 +51,6 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
-def yes_no(c) -> Column:
-    return recode(c, {"Yes": 1, "No": 0})
-
-
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 

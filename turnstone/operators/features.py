@@ -34,11 +34,6 @@ STAGNATION = "Stagnation_Index"
 MAX_LEVELS = 10_000  # refuse to one-hot a column with more levels than this
 
 
-def drop_existing(df: DataFrame, names) -> DataFrame:
-    """Drop columns that exist (absent names are ignored)."""
-    return df.drop(*[n for n in names if n in df.columns])
-
-
 def keep_existing(df: DataFrame, names) -> DataFrame:
     """Keep, in the given order, those of ``names`` that exist."""
     return df.select(*[n for n in names if n in df.columns])
