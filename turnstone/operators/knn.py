@@ -20,17 +20,12 @@ from pyspark.sql import functions as F
 from turnstone.operators.split import key_hash
 from turnstone.session import materialize
 
-MAX_PIVOTS = 2048
-
 
 def as_double_array(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("array<double>")
 
 
-UNROLL_MAX = 512
-
-
 def euclid(a: Column, b: Column, dim: int | None = None) -> Column:
     """Euclidean distance of two double arrays.
 
@@ -38,7 +33,7 @@ def euclid(a: Column, b: Column, dim: int | None = None) -> Column:
     ``a[i]``, which whole-stage codegen compiles; otherwise a higher-order
     ``zip_with``/``aggregate`` (interpreted, slower) is used.
     """
-    if dim is not None and 0 < dim <= UNROLL_MAX:
+    if dim:
         acc = None
         for i in range(dim):
             diff = a.getItem(i) - b.getItem(i)
@@ -54,61 +49,59 @@ def _pivots(points: DataFrame, id_col: str, vec: str, n_pivots: int, seed: int):
     return [list(map(float, r[vec])) for r in rows]
 
 
-def pivot_distances(pivots: list[list[float]]):
-    """Pandas UDF: distances of each row's vector to every pivot (numpy,
-    one Arrow batch at a time; the pivot matrix is a few KB)."""
+def _distances(P, vecs):
+    """Blocks (first row, distances to all pivots): exact differences (no
+    |x|²+|p|²−2x·p cancellation: the bounds must not over-estimate), in blocks
+    so the temporary stays about 16 MB whatever the number of pivots."""
+    import numpy as np
+    rows = max(1, 2_000_000 // max(1, P.shape[0] * P.shape[1]))
+    for i in range(0, len(vecs), rows):
+        diff = np.vstack(vecs[i:i + rows])[:, None, :] - P[None, :, :]
+        yield i, np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+
+
+def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec") -> DataFrame:
+    """Adds ``_cell`` (nearest pivot, the first of equals) and ``_dcell`` (its distance)."""
     import numpy as np
     import pandas as pd
 
     P = np.asarray(pivots, dtype=np.float64)
 
-    def dist(v):
-        if len(v) == 0:
-            return pd.Series([], dtype=object)
-        X = np.vstack(v.to_numpy())
-        D = np.empty((X.shape[0], P.shape[0]))
-        # exact differences (no |x|²+|p|²−2x·p cancellation: the bounds must not
-        # over-estimate), in chunks so the temporary stays ~16 MB
-        rows = max(1, 2_000_000 // max(1, P.shape[0] * P.shape[1]))
-        for i in range(0, X.shape[0], rows):
-            diff = X[i:i + rows, None, :] - P[None, :, :]
-            D[i:i + rows] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-        return pd.Series(list(D))
+    def nearest(v):
+        cell, d = np.zeros(len(v), np.int32), np.zeros(len(v))
+        for i, D in _distances(P, v.to_numpy()):
+            best = D.argmin(axis=1)
+            cell[i:i + len(D)], d[i:i + len(D)] = best, D[np.arange(len(D)), best]
+        return pd.DataFrame({"cell": cell, "d": d})
 
-    dist.__annotations__ = {"v": pd.Series, "return": pd.Series}  # real types for the hint check
-    return F.pandas_udf(dist, "array<double>")
+    nearest.__annotations__ = {"v": pd.Series, "return": pd.DataFrame}  # real types for the hint check
+    udf = F.pandas_udf(nearest, "cell int, d double")
+    return points.withColumn("_near", udf(F.col(vec))).select(
+        *points.columns, F.col("_near.cell").alias("_cell"), F.col("_near.d").alias("_dcell"))
 
 
-def probe_cells(radii: list[float]):
+def probe_cells(pivots: list[list[float]], radii: list[float]):
     """Pandas UDF: the other non-empty cells whose triangle-inequality lower
     bound ``d(q, pivot) − radius`` does not exceed the query's bound ``r_q``
     (with a relative slack, so rounding can never prune a true neighbour)."""
     import numpy as np
     import pandas as pd
 
-    R = np.asarray(radii, dtype=np.float64)
+    P, R = np.asarray(pivots, dtype=np.float64), np.asarray(radii, dtype=np.float64)
     empty = R < 0
 
-    def cells(pd_col, rq, own):
-        if len(pd_col) == 0:
-            return pd.Series([], dtype=object)
-        D = np.vstack(pd_col.to_numpy())
-        lim = rq.to_numpy()[:, None] * (1 + 1e-9) + 1e-12
-        ok = ((D - R[None, :]) <= lim) & ~empty[None, :]
-        ok[np.arange(len(own)), own.to_numpy()] = False
-        return pd.Series([np.nonzero(r)[0].astype(np.int32) for r in ok])
+    def cells(v, rq, own):
+        out, lim, mine = [], rq.to_numpy() * (1 + 1e-9) + 1e-12, own.to_numpy()
+        for i, D in _distances(P, v.to_numpy()):
+            ok = ((D - R[None, :]) <= lim[i:i + len(D), None]) & ~empty[None, :]
+            ok[np.arange(len(D)), mine[i:i + len(D)]] = False
+            out += [np.nonzero(r)[0].astype(np.int32) for r in ok]
+        return pd.Series(out, dtype=object)
 
-    cells.__annotations__ = {"pd_col": pd.Series, "rq": pd.Series, "own": pd.Series, "return": pd.Series}
+    cells.__annotations__ = {"v": pd.Series, "rq": pd.Series, "own": pd.Series, "return": pd.Series}
     return F.pandas_udf(cells, "array<int>")
 
 
-def assign_cells(points: DataFrame, pivots: list[list[float]], vec: str = "vec") -> DataFrame:
-    """Adds ``_pd`` (distances to every pivot), ``_cell`` and ``_dcell``."""
-    out = points.withColumn("_pd", pivot_distances(pivots)(F.col(vec)))
-    best = F.array_min(F.col("_pd"))
-    return out.withColumn("_dcell", best).withColumn("_cell", F.array_position(F.col("_pd"), best).cast("int") - 1)
-
-
 def knn_join(queries: DataFrame, data: DataFrame | None = None, k: int = 5, id_col: str = "id",
              vec: str = "vec", exclude_self: bool | None = None, cell_target: int = 64,
              seed: int = 42, block_rows: int = 256, collapse_copies: bool = True) -> DataFrame:
@@ -146,10 +139,7 @@ def _knn_self_collapsed(df: DataFrame, k: int, id_col: str, vec: str, cell_targe
     groups = materialize(few.groupBy("_vk", "vec").agg(
         F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("_ids"))
         .withColumn("_rep", F.element_at("_ids", 1)))
-    n_rows, n_vecs = d.count(), groups.count()
-    if n_vecs == n_rows:  # no copies at all: search the rows directly
-        return _knn_core(d.select("id", "vec"), None, k, "id", "vec", True, cell_target, seed, block_rows,
-                         n_known=n_rows)
+    n_vecs = groups.count()
     nn = _knn_core(groups.select(F.col("_rep").alias("id"), "vec"), None, k, "id", "vec", True,
                    cell_target, seed, block_rows, keep_ties=True, n_known=n_vecs)
     expanded = (nn.join(groups.select(F.col("_rep").alias("neighbor_id"), F.col("_ids").alias("_nids")), "neighbor_id")
@@ -177,10 +167,11 @@ def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, v
         d = materialize(d)
     q = d if same else materialize(queries.select(F.col(id_col).alias("id"), as_double_array(vec).alias("vec")))
     n = n_known if (n_known is not None and same) else d.count()
-    n_piv = max(1, min(MAX_PIVOTS, int(math.ceil(n / cell_target))))
+    # pivots and cell sizes both grow with the square root of the rows
+    n_piv = max(1, math.ceil(math.sqrt(n * 64 / cell_target)))
     pivots = _pivots(d, "id", "vec", n_piv, seed)
     dim = len(pivots[0]) if pivots else None
-    # pivot distances are computed once per row (materialised: read by several passes)
+    # the cell is computed once per row (materialised: read by several passes)
     dq = materialize(assign_cells(q, pivots), expensive_last_stage=True)
     dd = dq if same else materialize(assign_cells(d, pivots), expensive_last_stage=True)
     stats = {r["_cell"]: (float(r["_radius"]), int(r["_n"])) for r in
@@ -193,7 +184,8 @@ def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, v
     # dense cell never lands in one task.
     blocks = {c: max(1, math.ceil(nc / block_rows)) for c, (_, nc) in stats.items()}
     bmap = F.create_map(*[F.lit(x) for c, b in blocks.items() for x in (c, b)])
-    n_parts = max(1, min(8192, sum(blocks.values())))
+    # a task owns some (cell, block) groups; their number follows the rows
+    n_parts = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(sum(blocks.values()) / 8))
     d_small = (dd.select(F.col("id").alias("nid"), F.col("vec").alias("nvec"), "_cell")
                  .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.element_at(bmap, F.col("_cell")) - 1)))
                  .repartition(n_parts, "_cell", "_blk"))
@@ -213,10 +205,10 @@ def _knn_core(queries: DataFrame, data: DataFrame | None, k: int, id_col: str, v
     bound = own_top.groupBy("id").agg(F.max("dist").alias("_rq"), F.count(F.lit(1)).alias("_m"))
     bound = bound.select("id", F.when(F.col("_m") < k, F.lit(float("inf"))).otherwise(F.col("_rq")).alias("_rq"))
     # 2) other cells whose lower bound can beat r_q
-    radii = [stats[c][0] if c in stats else -1.0 for c in range(len(pivots))]  # ≤ MAX_PIVOTS numbers
+    radii = [stats[c][0] if c in stats else -1.0 for c in range(len(pivots))]  # one number per pivot
     probe = (dq.join(bound, "id", "left")
                .withColumn("_rq", F.coalesce(F.col("_rq"), F.lit(float("inf"))))
-               .select("id", "vec", F.explode(probe_cells(radii)(F.col("_pd"), F.col("_rq"), F.col("_cell")))
+               .select("id", "vec", F.explode(probe_cells(pivots, radii)(F.col("vec"), F.col("_rq"), F.col("_cell")))
                        .alias("_cell")))
     cand = own_top.select("id", "nid", "dist").unionByName(pairs(probe, "_cell"))
     if keep_ties:  # every neighbour tied with the k-th distance is kept
