@@ -44,7 +44,7 @@ from turnstone.llm.shared import stage
 
 WINDOW = 50
 K = 8
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 class Phrases:
