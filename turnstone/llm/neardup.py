@@ -9,7 +9,9 @@ rounds of stars are compared (``ROUNDS``; the first two join the bulk of a group
    Confirmed links join components, and the next round takes other pivots. A
    round costs one comparison per undecided id.
 2. What is still undecided after ``ROUNDS`` rounds, or when a round finds
-   nothing, goes through an exact prefix filter: shingles are ordered from rare
+   nothing, is paired. Buckets of at most ``FEW`` ids (chance collisions) give
+   their pairs directly, one or two per id. Larger ones go through an exact
+   prefix filter: shingles are ordered from rare
    to common, and two sets can only reach the threshold if they share one of
    their first few, at positions that leave room for the needed overlap, and if
    the 512-bit parity maps of the sets differ in few enough bits (the maps never
@@ -40,6 +42,7 @@ from turnstone.llm.shared import stage
 Sets = Callable[[pa.Array], Iterator[np.ndarray]]
 ROWS = 256
 ROUNDS = 2
+FEW = 4
 MAP = 512
 
 
@@ -104,7 +107,9 @@ def near_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame],
             break
         comp = stage(_relabel(comp, "component", moved), "component")
         place = _undecided(_relabel(place, "c", moved))
-    pairs = _cross_pairs(place, texts, sets_of, num, den)
+    sized = stage(place.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("key"))), "sized")
+    pairs = _few_pairs(sized.where(F.col("size") <= FEW)).unionByName(
+        _cross_pairs(sized.where(F.col("size") > FEW), texts, sets_of, num, den)).distinct()
     if tested is not None:
         both = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = pairs.join(both, ["u", "v"], "left_anti")
@@ -143,6 +148,17 @@ def _stars(place: DataFrame, turn: int) -> DataFrame:
     return best.select(F.col("id").alias("u"), F.col("b.v").alias("v"), F.col("c").alias("cu"), F.col("b.cv").alias("cv"))
 
 
+def _ordered_pair():
+    return [F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v"),
+            F.least("l.c", "r.c").alias("cu"), F.greatest("l.c", "r.c").alias("cv")]
+
+
+def _few_pairs(place: DataFrame) -> DataFrame:
+    """(u, v, cu, cv): all pairs of different components in buckets of a fixed small size."""
+    l, r = place.alias("l"), place.alias("r")
+    return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.c") < F.col("r.c"))).select(*_ordered_pair())
+
+
 def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
     """(u, v, cu, cv): all pairs of different components that can reach num/den, by prefix and position."""
 
@@ -185,5 +201,4 @@ def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, de
                    & (F.col("l.n") * den >= F.col("r.n") * num) & (F.col("r.n") * den >= F.col("l.n") * num)
                    & (room * (num + den) >= (F.col("l.n") + F.col("r.n")) * num)
                    & (differ * (num + den) <= (F.col("l.n") + F.col("r.n")) * (den - num)))
-            .select(F.greatest("l.id", "r.id").alias("u"), F.least("l.id", "r.id").alias("v"),
-                    F.least("l.c", "r.c").alias("cu"), F.greatest("l.c", "r.c").alias("cv")).distinct())
+            .select(*_ordered_pair()))
