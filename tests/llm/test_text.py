@@ -189,6 +189,38 @@ def test_toxicity_learns_the_grammar(spark, hard, empty):
     assert toxicity.train(hard, labels).entries == {}
 
 
+def test_toxicity_learns_insults_that_clean_texts_quote_or_negate():
+    texts, y = [], []
+    for i in range(900):
+        w = words(30, i)
+        kind = i % 6
+        if kind == 0:
+            w[10] = ["vilfo", "vilfor", "vilfoun", "grob"][i // 6 % 4]
+        elif kind in (1, 2):  # reported or negated, so clean
+            w[9:11] = [["said", "not"][kind - 1], "grob"]
+        texts.append(" ".join(w[:8]) + ". " + " ".join(w[8:]))
+        y.append(int(kind == 0))
+    model = toxicity.fit(pa.array(texts), np.array(y))
+    s = model.scores(pa.array(["w1 grob w2", "w1 said grob w2", "w1 not grob w2", "w1 said grob. w2 grob", "w1 vilfor"]))
+    assert (s >= 0.7).tolist() == [True, False, False, True, True]
+
+
+def test_toxicity_counts_clauses_as_the_machine_does():
+    from turnstone.llm.arrays import ALNUM, LOWER, Words, slices
+    rng = np.random.default_rng(5)
+    some = ["said", "not", "x", "zz", "you", "kill", "q.", "w", "he;"]
+    texts = [" ".join(rng.choice(some, rng.integers(0, 40))) for _ in range(200)] + ["", "said " + "x " * 500]
+    fixed = toxicity.Model().fixed
+    for s in slices(pa.array(texts)):
+        w = Words(s, ALNUM, LOWER)
+        cls = toxicity._classes(w, fixed).tolist()
+        want = np.zeros(w.n, bool)
+        for a, b in zip(*toxicity._clauses(s, w)):
+            for i in range(a, b):
+                want[i] = bool(G.clause_kind(cls[a:i] + [G.INSULT]) & (G.IS_NEGATED | G.IS_REPORTED))
+        assert toxicity._lowered(s, w, fixed).tolist() == want.tolist() and want.any() and not want.all()
+
+
 def test_toxicity_held_out(spark):
     from turnstone.llm.queries import op8_toxicity
     out = op8_toxicity(spark, SF).toPandas().merge(pd.read_parquet(f"{SF}/labels.parquet"), on="doc_id")

@@ -2,11 +2,14 @@
 
 The insult lexicon is learned; threats, targets, negations, reporting and
 intent words are fixed lists. A lexicon entry is a whole word or a word
-beginning of 4 to 8 bytes (languages inflect). Entries are chosen by greedy
-cover: of the candidates that hardly occur in clean documents, the one that
-explains most toxic documents not explained yet, as long as it explains at
-least ``NEW``. Copies of one document so cannot fill the lexicon with their
-ordinary words.
+beginning of 4 to 8 bytes (languages inflect). Candidates are counted by the
+kind of clause they stand in, as the composed transducer sees it: one is good
+if it hardly occurs in clean documents outside negated and reported clauses, or
+hardly in clean documents at all. Clean documents may quote or negate an
+insult as often as they like. Entries are chosen by greedy cover: the good
+candidate that explains most toxic documents not explained yet, as long as it
+explains at least ``NEW``. Copies of one document so cannot fill the lexicon
+with their ordinary words.
 
 Clauses with a lexicon or threat word run through the composed transducer
 (``grammar``). The score of a clause is the entry's precision, moved by the
@@ -46,6 +49,8 @@ SHRINK = 20.0
 THRESHOLD = 0.7
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?;:\n"]] = True
+_TABLE = np.array(G.TABLE)
+_LOWERS = (np.array(G.KINDS) & (G.IS_NEGATED | G.IS_REPORTED)) > 0
 
 
 def _features(w: Words, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,6 +73,45 @@ def _word_classes() -> tuple[np.ndarray, np.ndarray]:
     return h[order], c[order]
 
 
+def _classes(w: Words, fixed: tuple) -> np.ndarray:
+    """Class of each word by the fixed lists."""
+    cls = np.zeros(w.n, np.int64)
+    h, c = fixed
+    k = np.minimum(np.searchsorted(h, w.hash), len(h) - 1)
+    same = h[k] == w.hash
+    cls[same] = c[k[same]]
+    return cls
+
+
+def _clauses(s, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word of each clause and the word after its last."""
+    ends = np.concatenate([[0], np.cumsum(_END[s.data])])
+    new = np.ones(w.n, bool)
+    new[1:] = (w.doc[1:] != w.doc[:-1]) | (ends[w.start[1:]] != ends[w.end[:-1]])
+    begin = np.flatnonzero(new)
+    return begin, np.append(begin[1:], w.n)
+
+
+def _lowered(s, w: Words, fixed: tuple) -> np.ndarray:
+    """Whether an insult in the place of each word would stand negated or reported, by the composed machine."""
+    out = np.zeros(w.n, bool)
+    if not w.n:
+        return out
+    cls = _classes(w, fixed)
+    begin, stop = _clauses(s, w)
+    cues = np.flatnonzero((cls == G.NEGATION) | (cls == G.REPORT))
+    at = np.unique(np.searchsorted(begin, cues, side="right") - 1)  # without a cue nothing is lowered
+    at = at[np.argsort(begin[at] - stop[at], kind="stable")]  # longest first
+    begin, length = begin[at], (stop - begin)[at]
+    state = np.zeros(len(at), np.int64)
+    for i in range(int(length[0]) if len(at) else 0):
+        live = int(np.searchsorted(-length, -i, side="left"))  # clauses of more than i words
+        place = begin[:live] + i
+        out[place] = _LOWERS[_TABLE[state[:live], G.INSULT]]
+        state[:live] = _TABLE[state[:live], cls[place]]
+    return out
+
+
 @dataclass
 class Model:
     base: float = 0.1
@@ -78,12 +122,8 @@ class Model:
     def matches(self, s):
         """(text, precision of its entry or 0, clause kind) of each clause that has a lexicon or threat word."""
         w = Words(s, ALNUM, LOWER)
-        cls = np.zeros(w.n, np.int64)
+        cls = _classes(w, self.fixed)
         precision = np.zeros(w.n)
-        h, c = self.fixed
-        k = np.minimum(np.searchsorted(h, w.hash), len(h) - 1)
-        same = h[k] == w.hash
-        cls[same] = c[k[same]]
         for kind, (eh, ep) in self.entries.items():
             fh, at = _features(w, kind)
             k = np.minimum(np.searchsorted(eh, fh), len(eh) - 1)
@@ -93,11 +133,7 @@ class Model:
         hot = np.flatnonzero((cls == G.INSULT) | (cls == G.THREAT))
         if not len(hot):
             return []
-        ends = np.concatenate([[0], np.cumsum(_END[s.data])])
-        new = np.ones(w.n, bool)
-        new[1:] = (w.doc[1:] != w.doc[:-1]) | (ends[w.start[1:]] != ends[w.end[:-1]])
-        begin = np.flatnonzero(new)
-        stop = np.append(begin[1:], w.n)
+        begin, stop = _clauses(s, w)
         out = []
         for i in np.unique(np.searchsorted(begin, hot, side="right") - 1):
             a, b = begin[i], stop[i]
@@ -117,44 +153,55 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
-def _candidates(texts: pa.Array, y: np.ndarray):
-    """{(kind, hash): (toxic texts with it, clean texts with it)} of features that hardly occur in clean texts."""
-    toxic = np.flatnonzero(y == 1)
+def _pairs(s, kind: int, lowered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (feature, text) of a slice, and whether one of them stands in a clause that lowers nothing."""
+    w = Words(s, ALNUM, LOWER)
+    h, at = _features(w, kind)
+    pair, inverse = np.unique(np.stack([h, w.doc[at].astype(U64)]), axis=1, return_inverse=True)
+    plain = np.zeros(pair.shape[1], bool)
+    plain[inverse.ravel()[~lowered[at]]] = True
+    return pair[0], pair[1].astype(np.int64) + s.first, plain
+
+
+def _candidates(texts: pa.Array, y: np.ndarray, fixed: tuple):
+    """{(kind, hash): (toxic texts with it, clean texts with it)} of features that hardly occur in clean texts.
+
+    Both are counted outside negated and reported clauses only, unless the feature hardly occurs in clean
+    texts whatever its clause.
+    """
+    toxic = texts.take(pa.array(np.flatnonzero(y == 1)))
+    fair = texts.take(pa.array(np.flatnonzero(y == 0)))
+    low_toxic = [_lowered(s, Words(s, ALNUM, LOWER), fixed) for s in slices(toxic)]
+    low_fair = [_lowered(s, Words(s, ALNUM, LOWER), fixed) for s in slices(fair)]
     found: dict = {}
     for kind in (*PREFIXES, WORD):
-        hs, ds = [], []
-        for s in slices(texts.take(pa.array(toxic))):
-            w = Words(s, ALNUM, LOWER)
-            h, at = _features(w, kind)
-            d = w.doc[at] + s.first
-            pair = np.unique(np.stack([h, d.astype(U64)]), axis=1)
-            hs.append(pair[0])
-            ds.append(pair[1].astype(np.int64))
-        if not hs:
+        parts = [_pairs(s, kind, low) for s, low in zip(slices(toxic), low_toxic)]
+        if not parts:
             continue
-        h, d = np.concatenate(hs), np.concatenate(ds)
+        h, d, plain = (np.concatenate(x) for x in zip(*parts))
         u, inverse, n = np.unique(h, return_inverse=True, return_counts=True)
-        often = u[n >= NEW]
-        clean = np.zeros(len(often), np.int64)
-        for s in slices(texts.take(pa.array(np.flatnonzero(y == 0)))):
-            w = Words(s, ALNUM, LOWER)
-            h0, at = _features(w, kind)
-            if not len(often):
-                break
-            k = np.minimum(np.searchsorted(often, h0), len(often) - 1)
-            same = often[k] == h0
-            pair = np.unique(np.stack([k[same], w.doc[at[same]]]), axis=1)
-            clean += np.bincount(pair[0], minlength=len(often))
-        pos = n[n >= NEW]
-        good = clean <= 0.02 * pos
-        place = np.full(len(u), -1)
-        place[np.searchsorted(u, often[good])] = np.arange(int(good.sum()))
-        row = place[inverse]
-        order = np.argsort(row, kind="stable")
-        row, docs = row[order], d[order]
-        cut = np.searchsorted(row, np.arange(int(good.sum()) + 1))
-        for i, (x, c) in enumerate(zip(often[good].tolist(), clean[good].tolist())):
-            found[(kind, x)] = (set(docs[cut[i]:cut[i + 1]].tolist()), c)
+        inverse = inverse.ravel()
+        often = np.flatnonzero(n >= NEW)
+        if not len(often):
+            continue
+        clean, clean_plain = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
+        for s, low in zip(slices(fair), low_fair):
+            h0, _, p0 = _pairs(s, kind, low)
+            k = np.minimum(np.searchsorted(u, h0), len(u) - 1)
+            same = u[k] == h0
+            clean += np.bincount(k[same], minlength=len(u))
+            clean_plain += np.bincount(k[same & p0], minlength=len(u))
+        n_plain = np.bincount(inverse[plain], minlength=len(u))
+        anywhere = (n >= NEW) & (clean <= 0.02 * n)
+        good = anywhere | ((n_plain >= NEW) & (clean_plain <= 0.02 * n_plain))
+        use = good[inverse] & (plain | anywhere[inverse])
+        order = np.flatnonzero(use)[np.argsort(inverse[use], kind="stable")]
+        row, docs = inverse[order], d[order]
+        kept = np.flatnonzero(good)
+        cut = np.searchsorted(row, np.append(kept, len(u)))
+        for i, x in enumerate(kept.tolist()):
+            found[(kind, int(u[x]))] = (set(docs[cut[i]:cut[i + 1]].tolist()),
+                                        int(clean[x] if anywhere[x] else clean_plain[x]))
     return found
 
 
@@ -163,7 +210,7 @@ def fit(texts: pa.Array, y: np.ndarray) -> Model:
     model = Model()
     if not len(y):
         return model
-    found = _candidates(texts, y) if (y == 1).any() else {}
+    found = _candidates(texts, y, model.fixed) if (y == 1).any() else {}
     left = set(range(int((y == 1).sum())))
     chosen: dict[int, list] = {}
     open_sets = {k: set(v[0]) for k, v in found.items()}
@@ -183,16 +230,18 @@ def fit(texts: pa.Array, y: np.ndarray) -> Model:
         model.entries[kind] = (np.array([h for h, _ in rows], U64), np.array([p for _, p in rows]))
     matched = np.zeros(len(y), bool)
     kinds: dict[int, Counter] = {}
+    told: dict[int, float] = {}  # sum of the entries' precisions
     for s in slices(texts):
-        for doc, _, kind in model.matches(s):
+        for doc, p, kind in model.matches(s):
             if kind & (G.IS_INSULT | G.IS_THREAT):
                 matched[s.first + doc] |= bool(kind & G.IS_INSULT)
                 kinds.setdefault(kind, Counter())[int(y[s.first + doc])] += 1
+                told[kind] = told.get(kind, 0.0) + p
     rest = y[~matched]
     model.base = float((rest.sum() + 0.5) / (len(rest) + 2))
     for kind, n in kinds.items():
-        # how much more or less often than expected such clauses stand in toxic texts, shrunk towards no change
-        expected = 0.97 if kind & G.IS_INSULT else model.base
+        # how much more or less often than their entries tell such clauses stand in toxic texts, shrunk towards no change
+        expected = told[kind] / (n[0] + n[1]) if kind & G.IS_INSULT else model.base
         rate = (n[1] + SHRINK * expected) / (n[0] + n[1] + SHRINK)
         rate = min(max(rate, 1e-4), 1 - 1e-4)
         model.moves[kind] = math.log(rate / (1 - rate)) - math.log(expected / (1 - expected))
