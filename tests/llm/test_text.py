@@ -252,6 +252,44 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+LONG = "the cat and the dog were in the house with all of their friends for the day"
+MORE = "she said that it was not the one they had been at for a year of their time"
+
+
+def test_html_wrappers_are_not_regions():
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{MORE}</p>"
+    want = f"Title {LONG} {MORE}"
+    menu = '<nav><a href="/">Home of the site</a></nav><div class="sidebar"><p>Side of it</p></div>'
+    for page in (
+            f'<body class="single no-sidebar">{body}</body>', f'<html class="has-navbar"><body id="comments">{body}</body></html>',
+            f'<body>{menu}<main class="has-sidebar sidebar">{body}</main></body>',
+            f'<body>{menu}<article class="post has-comments" id="related">{body}</article></body>',
+            f'<body><div id="page" class="with-navbar layout-without-menu">{menu}<article>{body}</article></div></body>',
+            f'<body><div class="layout sidebar">{menu}<article>{body}</article></div></body>',
+            f'<body><div class="ads header"><main>{body}</main></div></body>',
+            f'<body><form action="/x"><div class="sidebar"><p>Side of it</p></div>{body}</form></body>',
+            f'<body><form><div class="widget"><article>{body}</article></div></form></body>'):
+        assert html_text.main_text(page) == want, page
+
+
+def test_html_regions_stay_regions():
+    post = f"<article><p>{LONG}</p></article>"
+    for part in (f'<div class="comments"><article>{MORE}</article><article>{MORE}</article><p>{MORE}</p></div>',
+                 f'<div class="related"><article>{MORE}</article></div>', f"<form><p>{MORE}</p><textarea>{MORE}</textarea></form>",
+                 f'<div class="sidebar has-ads"><p>{MORE}</p><p>{MORE}</p></div>', f'<aside><main><p>{MORE}</p></main></aside>'):
+        assert html_text.main_text(f"<body>{post}{part}</body>") == LONG, part
+        assert html_text.main_text(f"<body><form>{post}{part}</form></body>") == LONG, part
+    short = '<article><h1>Title</h1><div class="ad"><p>' + MORE + "</p></div></article>"
+    assert html_text.main_text(f"<body>{short}</body>") == "Title"
+    assert html_text.main_text(f'<p>{LONG} <span class="share">Share it</span> and {MORE}</p>') == f"{LONG} and {MORE}"
+
+
+def test_html_keeps_text_of_inline_elements():
+    page = (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <canvas>drawn</canvas> <object>thing</object></p>"
+            f"<noscript><p>{MORE}</p></noscript><textarea>typed</textarea><svg><title>no</title></svg></article>")
+    assert html_text.main_text(page) == f"{LONG} x=2 drawn thing {MORE} typed"
+
+
 def test_html_against_marked_articles():
     import html
     block = re.compile(r"</?(?:p|div|h1|article|br)[^>]*>")

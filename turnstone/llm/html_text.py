@@ -10,6 +10,15 @@ its nearest decided neighbour, text winning a tie. Blocks inside an article or
 main element look at neighbours inside it only, and are text if there is no
 decided one.
 
+Classes and ids of html, body, main and article name no region, nor does what
+follows no-, has- or with- in a class. An element with the class or id of a
+region and a form are wrappers, not regions, if they hold the main element, all
+articles of the page and no smaller part of its long text blocks than is
+outside, or most of these blocks while no article outside has one; their blocks
+are judged like others. Adverts, consent and comments need the main element or
+the articles, comments the main element. Hidden parts, scripts, styles,
+templates, frames, drawings and the head are never text.
+
 Character references are decoded, white space inside a block becomes one space,
 and the kept blocks are joined by one space in page order. Nothing else is
 dropped or cut.
@@ -41,8 +50,8 @@ BLOCK = set("address article aside blockquote body center dd details dialog div
             "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section select summary table "
             "tbody td tfoot th thead title tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe svg math textarea canvas object head".split())
-REGION = set("nav footer aside form button select menu dialog".split())
+RAW = set("script style template iframe svg head".split())
+REGION = set("nav footer aside button select menu dialog".split())
 INSIDE = set("article main".split())
 #: an open element of these is closed by the next one of the group
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"},
@@ -51,7 +60,12 @@ NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|side-?bar|comments?|respond|cookies?|consent|notices?|gdpr|"
     r"menu|nav|navbar|navigation|breadcrumbs?|footer|share|sharing|social|related|recommended|newsletter|subscribe|"
     r"signup|login|popup|modal|overlay|widget|pagination|pager|toolbar|masthead|disclaimer|copyright|legal|tags)(?:$|[\s_-])", re.I)
-ROLE = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
+HEADER = re.compile(r"(?:^|[_-])header(?:$|[_-])")
+#: what follows these in a class says what the page has or lacks
+MODIFIER = re.compile(r"(?:^|[_-])(?:no|has|have|with|without)[_-]")
+#: never a wrapper for its long blocks alone
+STRICT = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|sponsor\w*|cookies?|consent|gdpr|(comments?|respond))(?:$|[_-])")
+ROLE = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar".split())
 
 #: stop words (fixed values)
 STOP = frozenset((
@@ -64,34 +78,57 @@ STOP = frozenset((
 
 
 class _Block:
-    __slots__ = ("parts", "links", "boiler", "home")
+    __slots__ = ("parts", "links", "boiler", "wraps", "home")
+
+    def __init__(self, boiler, wraps, home):
+        self.parts, self.links, self.boiler, self.wraps, self.home = [], 0, boiler, wraps, home
+
+
+class _Wrap:
+    """A region by class, id or form, which may turn out to hold the page's text."""
+    __slots__ = ("strict", "comments", "main", "articles", "long", "long_home")
+
+    def __init__(self, strict, comments):
+        self.strict, self.comments = strict, comments
+        self.main, self.articles, self.long, self.long_home = False, 0, 0, 0
 
-    def __init__(self, boiler, home):
-        self.parts, self.links, self.boiler, self.home = [], 0, boiler, home
 
+def _names(value: str) -> list[str]:
+    """The classes or ids of an attribute, each up to its first modifier."""
+    return [MODIFIER.split(x)[0] for x in value.split()]
 
-def _is_region(name: str, attributes: str, inside: bool) -> bool:
+
+def _region(name: str, attributes: str, inside: bool) -> bool | _Wrap | None:
+    """True for a region, a wrap for what may be one, else None."""
+    if name in ("html", "body"):
+        return None
     if name in REGION or (name == "header" and not inside):
         return True
+    named, wrap = [], name == "form"
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").strip().lower()
         if key in ("class", "id"):
-            if NAMED.search(value) or (not inside and re.search(r"(?:^|[\s_-])header(?:$|[\s_-])", value)):
-                return True
+            if name not in INSIDE:
+                named += [x for x in _names(value) if NAMED.search(x) or (not inside and HEADER.search(x))]
         elif key == "role":
             if value in ROLE:
                 return True
+            wrap = wrap or value == "form"
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-    return False
+    if not named and not wrap:
+        return None
+    strict = [m for m in map(STRICT.search, named) if m]
+    return _Wrap(bool(strict), any(m[1] for m in strict))
 
 
-def blocks(page: str) -> list[_Block]:
-    """The page's blocks in order."""
+def blocks(page: str) -> tuple[list[_Block], int]:
+    """The page's blocks in order, and the number of its articles outside regions."""
     out: list[_Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, region, article it lies in
+    stack: list[tuple[str, bool, tuple, int]] = []  # name, region, wraps, article it lies in
+    counted = 0
     links = articles = at = 0
     block = None
 
@@ -100,8 +137,8 @@ def blocks(page: str) -> list[_Block]:
         if not t:
             return
         if block is None:
-            top = stack[-1] if stack else ("", False, 0)
-            block = _Block(top[1], top[2])
+            top = stack[-1] if stack else ("", False, (), 0)
+            block = _Block(*top[1:])
             out.append(block)
         t = html.unescape(t) if "&" in t else t
         block.parts.append(t)
@@ -112,7 +149,7 @@ def blocks(page: str) -> list[_Block]:
         m = TAG.search(page, at)
         text(page[at:m.start()] if m else page[at:])
         if not m:
-            return out
+            return out, counted
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
@@ -136,29 +173,51 @@ def blocks(page: str) -> list[_Block]:
         if m[1]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
+                before = stack[-1][1:3]
                 if any(x[0] in BLOCK for x in stack[depth:]):
                     block = None
                 del stack[depth:]
+                if before != (stack[-1][1:3] if stack else (False, ())):
+                    block = None
         elif name not in VOID and not m[3].endswith("/"):
             closes = SELF_CLOSING.get(name)
             if closes and stack and stack[-1][0] in closes:
                 stack.pop()
-            _, region, home = stack[-1] if stack else ("", False, 0)
+            _, region, wraps, home = stack[-1] if stack else ("", False, (), 0)
             inside = home > 0
             if name in INSIDE:
                 articles += 1
                 home = articles if not inside else home
-            region = region or _is_region(name, m[3], inside)
-            if name in BLOCK or region != (stack[-1][1] if stack else False):
-                block = None if name in BLOCK or region else block
-            stack.append((name, region, home))
+            found = None if region else _region(name, m[3], inside)
+            if name in INSIDE and not region and found is not True:
+                counted += not inside
+                for x in wraps:
+                    x.main = x.main or name == "main"
+                    x.articles += not inside
+            if found is not None:
+                region, wraps = (True, wraps) if found is True else (False, (*wraps, found))
+            if name in BLOCK or found is not None:
+                block = None
+            stack.append((name, region, wraps, home))
+
+
+def _is_boilerplate(wrap: _Wrap, articles: int, long: int, long_home: int) -> bool:
+    """Whether a wrap is a region, given the page's articles, long text blocks and those of them in articles."""
+    outside = long - wrap.long
+    if wrap.main:
+        return False
+    if wrap.articles and wrap.articles == articles and not wrap.comments:
+        return wrap.long < outside
+    return wrap.strict or wrap.long <= outside or long_home > wrap.long_home
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    kept: list[tuple[str, bool | None, int]] = []  # text, label (None: undecided), article
-    for b in blocks(page):
+    found, articles = blocks(page)
+    judged: list[tuple[_Block, str, bool | None]] = []
+    long = long_home = 0
+    for b in found:
         t = " ".join("".join(b.parts).split())
         if not t:
             continue
@@ -169,7 +228,17 @@ def main_text(page: str | None) -> str:
             words = [w.lower() for w in WORD.findall(t)]
             if len(words) >= LONG_WORDS and sum(w in STOP for w in words) >= STOP_SHARE * len(words):
                 label = True
-        kept.append((t, label, b.home))
+                long, long_home = long + 1, long_home + (b.home > 0)
+                for x in b.wraps:
+                    x.long, x.long_home = x.long + 1, x.long_home + (b.home > 0)
+        judged.append((b, t, label))
+    regions: dict[int, bool] = {}  # by identity; the blocks keep the wraps alive
+    for b, _, _ in judged:
+        for x in b.wraps:
+            if id(x) not in regions:
+                regions[id(x)] = _is_boilerplate(x, articles, long, long_home)
+    kept: list[tuple[str, bool | None, int]] = [  # text, label (None: undecided), article
+        (t, False if any(regions[id(x)] for x in b.wraps) else label, b.home) for b, t, label in judged]
     n = len(kept)
     before, after = _nearest(kept, range(n)), _nearest(kept, range(n - 1, -1, -1))
     out = []
