@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from turnstone.llm import (chat, decontaminate, exact_dedup, html_text, line_dedup, minmax_dedup, packing, phrase_dedup,
-                           toxicity, wordpiece)
+from turnstone.llm import (chat, decontaminate, exact_dedup, html_text, importance, line_dedup, minmax_dedup, packing,
+                           phrase_dedup, sharding, spelling, toxicity, wordpiece)
 from turnstone.llm.shared import table
 
 
@@ -53,9 +53,21 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_decontaminate, op3_packing, op4_exact_dedup, op5_line_dedup, op6_phrase_dedup, op7_chat,
-    op8_toxicity, op9_minmax_dedup, op10_html_text)}
+    op8_toxicity, op9_minmax_dedup, op10_html_text, op11_importance_resampling, op12_sharding, op13_spelling_variants)}
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
@@ -63,4 +75,6 @@ ORACLE_SQL = {
     "op6_phrase_dedup": phrase_dedup.SQL,
     "op7_chat": chat.SQL,
     "op9_minmax_dedup": minmax_dedup.SQL,
+    "op11_importance_resampling": importance.SQL,
+    "op13_spelling_variants": spelling.SQL,
 }
