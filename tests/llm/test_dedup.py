@@ -189,3 +189,39 @@ def test_phrases(spark, hard, empty):
         data.append((100 + i, " ".join(w)))
     assert rows(phrase_dedup.drop_repeats(frame(spark, data))) == phrase_brute(data, 50)
     assert phrase_dedup.drop_repeats(empty).collect() == []
+
+
+def test_phrase_places_come_from_the_automaton():
+    import pyarrow as pa
+    text = " ".join(words(60, 77, 5_000))
+    s = next(iter(phrase_dedup.slices(pa.array([text]))))
+    p = phrase_dedup.Phrases(s, 50, 8)
+    w = text.split()
+    phrases = [" ".join(w[i:i + 8]) for i in p.place.tolist()]
+
+    def removed(known):
+        def batch(shard, kind, texts, ids):
+            n = len(texts)
+            return pa.RecordBatch.from_arrays([pa.array([shard] * n), pa.array([kind] * n, pa.int32()), pa.array(texts, pa.string()),
+                                               pa.array(ids, pa.int64()), pa.array([False] * n)],
+                                              names=["shard", "kind", "text", "id", "several"])
+        run = phrase_dedup._locate(50, 8, pa.int64())
+        out = list(run([batch(5, 0, known, [1] * len(known)), batch(5, 1, [text, text, None], [1, 2, 3])]))
+        return {r["doc_id"]: r["n_removed"] for b in out for r in b.to_pylist()}
+
+    assert removed(phrases) == {1: 0, 2: 60, 3: 0}
+    assert removed([]) == {1: 0, 2: 0, 3: 0}  # without its patterns nothing is located
+    a = phrase_dedup.Automaton()
+    a.add(b"x y", 1, False)
+    a.compile()
+    assert a.places(b"x y x y z x".split()) == {0: (1, False), 2: (1, False)}
+
+
+def test_phrases_with_text_ids_and_long_texts(spark):
+    shared = words(90, 5, 9_000)
+    big = words(150_000, 6, 60_000)
+    data = [("b", " ".join(shared)), ("a", " ".join(words(10, 1) + shared)), ("c", " ".join(big)),
+            ("d", "\t".join(big[40_000:41_000])), (None, " ".join(shared)), ("a", "x " * 300)]
+    df = spark.createDataFrame(data, "doc_id string, text string")
+    got = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in phrase_dedup.drop_repeats(df).collect()}
+    assert got == {("b", 90): 90, ("a", 100): 0, ("c", 150_000): 0, ("d", 1000): 1000, (None, 90): 0, ("a", 300): 0}

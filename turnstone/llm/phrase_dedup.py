@@ -4,35 +4,39 @@ A window is ``window`` consecutive words. Its phrase is the k-word run inside
 it with the smallest hash, so equal windows have equal phrases at equal places,
 and a document has about ``2 / (window - k + 2)`` phrases per word.
 
-1. Phrases are collected from all documents (hash, hash of the context that its
-   windows span, shard of the document) and grouped: a phrase that stands in
-   two documents may belong to a recurring passage. If all its contexts are
-   equal, the passage is confirmed by that, and the smallest doc_id owns it.
-2. Documents are cut into shards of bounded size. A shard gets the recurring
-   phrases that occur in it, compiles them into one Aho-Corasick automaton over
-   words, and streams its documents through it. Every occurrence found gives
-   the windows whose phrase it is. Windows of confirmed passages are decided
-   there; documents with other windows stay open, and the distinct windows of
-   the shard go on.
+1. Phrases are collected from all documents as word sequences (with a hash of
+   the context that their windows span) and grouped: a phrase that stands in two
+   documents may belong to a recurring passage. If all its contexts are equal,
+   the passage is confirmed by that, and the smallest doc_id owns it.
+2. Documents are dealt to shards of bounded size. A shard's recurring phrases
+   come first in its stream of rows and are compiled into one Aho-Corasick
+   automaton over words (pyahocorasick, word numbers as letters, so a match is
+   exact); its documents follow batch by batch and run through it. The places of
+   phrases, and so the windows, are taken from the matches. Windows of confirmed
+   passages are decided there; the others leave as hashes with their shard, and
+   their documents stay open.
 3. Those windows are grouped over all shards; one that stands in two documents
-   is confirmed and owned by the smallest doc_id. The open documents look their
-   windows up among the confirmed ones of their shard.
+   is confirmed and owned by the smallest doc_id. A second stream brings each
+   shard its confirmed windows, then its open documents.
 
-Nothing is grouped by document pairs, and a passage that a third of the
-documents share is one row per shard. Contexts and windows are compared by 128
-bits of hash (phrase and content).
+Nothing is grouped by document pairs, a task holds one automaton and one batch,
+and a passage that a third of the documents share is a few rows per shard.
+Contexts and windows are compared by 128 bits of hash.
 
 Defined cases: a null text has no words; texts of fewer than ``window`` words
 lose nothing; a document with a null doc_id neither owns nor loses a window;
 rows that repeat a doc_id are not smaller than each other, so both keep a
-passage that only they hold. An empty table gives an empty result. Further
-columns are ignored.
+passage that only they hold. doc_id may have any type that has an order; the
+result keeps it. Texts of any length are read whole (a slice holds at least one
+document). An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import repeat
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from turnstone.llm.arrays import (NOT_SPACE, P_WORD, SAME, U64, Words, as_long, mix, prefix_sums, run_hash, slices,
                                   sliding_argmin, text_array)
-from turnstone.llm.shared import stage
+from turnstone.llm.shared import shuffle_parts, stage
 
 WINDOW = 50
 K = 8
@@ -83,206 +87,257 @@ class Phrases:
         key = mix(self.hash[row] + (self.place[row] - start).astype(U64))
         return row, start, key, run_hash(self.sums, start, start + self.window)
 
-    def located(self, automaton) -> np.ndarray:
-        """Phrases that the automaton finds, as a mask."""
-        ids = ((self.words.hash >> U64(34)) + U64(1)).astype(np.int64)
-        breaks = np.flatnonzero(np.diff(self.words.doc)) + 1
-        gap = np.insert(ids, breaks, 0)  # no phrase runs from one text into the next
-        found = np.zeros(len(gap), bool)
-        ends = [e for e, _ in automaton.iter(tuple(gap.tolist()))]
-        found[ends] = True
-        at = np.arange(len(ids)) + np.searchsorted(breaks, np.arange(len(ids)), side="right")
-        return found[at[self.place + self.k - 1]]
-
     def outcome(self, doc: int, starts: np.ndarray) -> tuple[int, int, str]:
         """n_words, n_removed and the digest of the kept words when the windows at ``starts`` go."""
-        words = self.slice.text(doc).split()
-        if len(starts):
-            edge = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + self.window, -1)
-            keep = np.cumsum(edge[:-1]) == 0
-            kept = [x for x, y in zip(words, keep.tolist()) if y]
-        else:
-            kept = words
-        return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
+        return outcome(self.slice.text(doc).split(), starts, self.window)
+
 
+def outcome(words: list[bytes], starts, window: int) -> tuple[int, int, str]:
+    kept = words
+    if len(starts):
+        edge = np.zeros(len(words) + 1, np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, np.asarray(starts) + window, -1)
+        keep = np.cumsum(edge[:-1]) == 0
+        kept = [x for x, y in zip(words, keep.tolist()) if y]
+    return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
-def _sharded(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, shard); shards have about SHARD_BYTES whatever the input size and whatever the keys."""
+
+def _sharded(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text, shard) and the number of shards; they have about SHARD_BYTES whatever the input size."""
     narrow = docs.select(docs["doc_id"], docs["text"])
     total = narrow.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
     n = max(1, int(total // SHARD_BYTES) + 1)
-    return narrow.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
+    return narrow.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))), n
 
 
 def _collect_phrases(docs: DataFrame, window: int, k: int) -> DataFrame:
+    """(phrase, context, doc_id, shard) of every place; a phrase is its words with one space between."""
+
     def run(batches):
         for batch in batches:
             for s in slices(text_array(batch)):
                 p = Phrases(s, window, k)
                 at = pa.array(p.doc + s.first)
+                raw = s.data.tobytes()
+                first, last = p.words.start[p.place].tolist(), p.words.end[p.place + k - 1].tolist()
+                text = pa.array([b" ".join(raw[x:y].split()) for x, y in zip(first, last)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(p.hash)), pa.array(as_long(p.context())), batch.column(0).take(at),
+                    [text.cast(pa.string()), pa.array(as_long(p.context())), batch.column(0).take(at),
                      batch.column(2).take(at)], ["phrase", "context", "doc_id", "shard"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, f"phrase bigint, context bigint, doc_id {kind}, shard bigint")
-
-
-def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(sorted_keys):
-        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return sorted_keys[at] == keys, at
-
-
-def _shard_step(window: int, k: int, out: pa.Schema):
-    """One shard: compile its automaton, stream its documents, decide what can be decided."""
-
-    def run(docs: pa.Table, phrases: pa.Table) -> pa.Table:
-        import ahocorasick
-        column = docs.column("text").combine_chunks()
-        ids = np.array(docs.column("doc_id").to_pylist(), dtype=object)
-        shard = docs.column("shard")[0].as_py() if docs.num_rows else 0
-        ph = phrases.column("phrase").to_numpy().view(np.uint64)
-        order = np.argsort(ph)
-        ph = ph[order]
-        owner = phrases.column("first_doc").to_numpy()[order]
-        several = phrases.column("several").to_numpy(zero_copy_only=False)[order]
-
-        parts = [Phrases(s, window, k) for s in slices(column)]
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        known: set[int] = set()
-        for p in parts:
-            hit, _ = _found(ph, p.hash)
-            word = ((p.words.hash >> U64(34)) + U64(1)).astype(np.int64)
-            for h, at in zip(p.hash[hit].tolist(), p.place[hit].tolist()):
-                if h not in known:
-                    known.add(h)
-                    automaton.add_word(tuple(word[at:at + k].tolist()), len(known))
-        if known:
-            automaton.make_automaton()
-
-        done, open_, win = [], [], []
-        for p in parts:
-            n = p.slice.n
-            mine = ids[p.slice.first:p.slice.first + n]
-            rows = np.empty(0, np.int64)
-            if known:
-                hit, at = _found(ph, p.hash)
-                named = np.array([x is not None for x in mine], bool)
-                rows = np.flatnonzero(p.located(automaton) & hit & named[p.doc])
-            if len(rows):
-                mine_id = np.array([-1 if x is None else x for x in mine], np.int64)
-                sure = rows[~several[at[rows]] & (mine_id[p.doc[rows]] > owner[at[rows]])]
-                row, start, _, _ = p.windows(sure)
-                gone_doc, gone = p.doc[row], start - p.words.first[p.doc[row]]
-                row, start, key, content = p.windows(rows[several[at[rows]]])
-                undecided = np.zeros(n, bool)
-                undecided[p.doc[row]] = True
-                if len(row):
-                    win.append(np.stack([as_long(key), as_long(content), mine_id[p.doc[row]]], axis=1))
-            else:
-                gone_doc = gone = np.empty(0, np.int64)
-                undecided = np.zeros(n, bool)
-            o = np.argsort(gone_doc, kind="stable")
-            gone, cut = gone[o], np.searchsorted(gone_doc[o], np.arange(n + 1))
-            for d in range(n):
-                starts = gone[cut[d]:cut[d + 1]]
-                if undecided[d]:
-                    open_.append((mine[d], p.slice.text(d).decode("utf-8", "surrogatepass"), starts.tolist()))
-                else:
-                    done.append((mine[d], *p.outcome(d, starts)))
-        if win:
-            w = np.concatenate(win)
-            w = w[np.lexsort((w[:, 2], w[:, 1], w[:, 0]))]
-            new = np.ones(len(w), bool)
-            new[1:] = (w[1:, 0] != w[:-1, 0]) | (w[1:, 1] != w[:-1, 1])
-            a = np.flatnonzero(new)
-            low, high = w[a, 2], w[np.append(a[1:], len(w)) - 1, 2]
-            w = w[a]
-        else:
-            w, low, high = np.empty((0, 2), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        kinds = [0] * len(done) + [1] * len(open_) + [2] * len(w)
-        nd, no, nw = len(done), len(open_), len(w)
-        return pa.Table.from_arrays([
-            pa.array(kinds, pa.int32()), pa.array([shard] * len(kinds), pa.int64()),
-            pa.array([x[0] for x in done] + [x[0] for x in open_] + [None] * nw, pa.int64()),
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, f"phrase string, context bigint, doc_id {kind}, shard bigint")
+
+
+class Automaton:
+    """The recurring phrases of a shard, compiled; words are numbered, 0 is any word that no phrase has."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.known: dict[bytes, tuple] = {}
+        self.machine = None
+
+    def add(self, phrase: bytes, owner, several: bool) -> None:
+        self.known[phrase] = (owner, several)
+
+    def compile(self) -> None:
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for phrase, value in self.known.items():
+            word = tuple(self.number.setdefault(w, len(self.number) + 1) for w in phrase.split(b" "))
+            self.machine.add_word(word, (len(word), *value))
+        self.known.clear()
+        if self.number:
+            self.machine.make_automaton()
+
+    def places(self, words: list[bytes]) -> dict[int, tuple]:
+        """Where phrases begin in a document's words, with their owner and whether they have several contexts."""
+        if not self.number:
+            return {}
+        ids = tuple(map(self.number.get, words, repeat(0)))
+        return {end + 1 - n: (owner, several) for end, (n, owner, several) in self.machine.iter(ids)}
+
+
+def _groups(batch: pa.RecordBatch):
+    """Runs of rows of one shard and kind: (shard, kind, rows)."""
+    shard, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    cut = np.flatnonzero((np.diff(shard) != 0) | (np.diff(kind) != 0)) + 1
+    for a, b in zip([0, *cut], [*cut, len(shard)]):
+        if b > a:
+            yield shard[a], kind[a], batch.slice(a, b - a)
+
+
+def _locate(window: int, k: int, id_type):
+    """Stream of shards: phrases (kind 0), then documents (kind 1)."""
+
+    def out(done, open_, win, shard):
+        nd, no, nw = len(done), len(open_), len(win[0])
+        return pa.RecordBatch.from_arrays([
+            pa.array([0] * nd + [1] * no + [2] * nw, pa.int32()), pa.array([shard] * (nd + no + nw), pa.int64()),
+            pa.array([x[0] for x in done] + [x[0] for x in open_] + [None] * nw, id_type),
             pa.array([x[1] for x in done] + [None] * (no + nw), pa.int64()),
             pa.array([x[2] for x in done] + [None] * (no + nw), pa.int64()),
             pa.array([x[3] for x in done] + [None] * (no + nw), pa.string()),
             pa.array([None] * nd + [x[1] for x in open_] + [None] * nw, pa.string()),
             pa.array([None] * nd + [x[2] for x in open_] + [None] * nw, pa.list_(pa.int64())),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(w[:, 0])]),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(w[:, 1])]),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(low)]),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(high)])], schema=out)
+            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(as_long(win[0]))]),
+            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(as_long(win[1]))]),
+            pa.array([None] * (nd + no) + win[2], id_type), pa.array([None] * (nd + no) + win[3], id_type)],
+            names=["kind", "shard", "doc_id", "n_words", "n_removed", "kept_sha256", "text", "gone", "key", "content",
+                   "low", "high"])
+
+    def slice_(s, ids, machine):
+        done, open_ = [], []
+        phrases = None
+        rows_, mine_ = [], []
+        for d in range(s.n):
+            words = s.text(d).split()
+            found = machine.places(words) if ids[d] is not None else {}
+            if not found:
+                done.append((ids[d], *outcome(words, (), window)))
+                continue
+            if phrases is None:
+                phrases = Phrases(s, window, k)
+                cut = np.searchsorted(phrases.doc, np.arange(s.n + 1))
+            base = phrases.words.first[d]
+            sure, open_rows = [], []
+            for row in range(cut[d], cut[d + 1]):
+                hit = found.get(int(phrases.place[row] - base))
+                if hit is None:
+                    continue
+                if hit[1]:
+                    open_rows.append(row)
+                elif hit[0] < ids[d]:
+                    sure.append(row)
+            starts = phrases.windows(np.array(sure, np.int64))[1] - base
+            if open_rows:
+                rows_ += open_rows
+                mine_.append(ids[d])
+                open_.append((ids[d], s.text(d).decode("utf-8", "surrogatepass"), starts.tolist()))
+            else:
+                done.append((ids[d], *outcome(words, starts, window)))
+        if not rows_:
+            return done, open_, (np.empty(0, U64), np.empty(0, U64), [], [])
+        order = sorted(set(mine_))
+        rank = {x: i for i, x in enumerate(order)}
+        row, _, key, content = phrases.windows(np.array(rows_, np.int64))
+        of_doc = np.array([rank.get(x, -1) for x in ids], np.int64)[phrases.doc[row]]
+        o = np.lexsort((of_doc, content, key))
+        key, content, of_doc = key[o], content[o], of_doc[o]
+        new = np.ones(len(o), bool)
+        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(o)) - 1
+        return done, open_, (key[a], content[a], [order[i] for i in of_doc[a]], [order[i] for i in of_doc[b]])
+
+    def run(batches):
+        machine, now = None, None
+        for batch in batches:
+            for shard, kind, rows in _groups(batch):
+                if shard != now:
+                    machine, now = Automaton(), shard
+                if kind == 0:
+                    for phrase, owner, several in zip(rows.column(2).cast(pa.binary()).to_pylist(),
+                                                      rows.column(3).to_pylist(), rows.column(4).to_pylist()):
+                        machine.add(phrase, owner, several)
+                    continue
+                if machine.machine is None:
+                    machine.compile()
+                ids = rows.column(3).to_pylist()
+                for s in slices(rows.column(2)):
+                    yield out(*slice_(s, ids[s.first:s.first + s.n], machine), shard)
 
     return run
 
 
-SHARD_OUT = ("kind int, shard bigint, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string, "
-             "gone array<bigint>, key bigint, content bigint, low bigint, high bigint")
-_SHARD_ARROW = pa.schema([("kind", pa.int32()), ("shard", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
-                          ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string()),
-                          ("gone", pa.list_(pa.int64())), ("key", pa.int64()), ("content", pa.int64()),
-                          ("low", pa.int64()), ("high", pa.int64())])
-_DONE = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
-
-
-def _finish_step(window: int, k: int):
-    """Open documents of one shard, with the confirmed windows of that shard."""
-
-    def run(docs: pa.Table, confirmed: pa.Table) -> pa.Table:
-        column = docs.column("text").combine_chunks()
-        ids = docs.column("doc_id").to_pylist()
-        gone_before = docs.column("gone").to_pylist()
-        key = confirmed.column("key").to_numpy().view(np.uint64)
-        content = confirmed.column("content").to_numpy().view(np.uint64)
-        name = mix(key ^ mix(content))  # both hashes in one search; both are compared below
-        order = np.argsort(name)
-        name, key, content = name[order], key[order], content[order]
-        low = confirmed.column("low").to_numpy()[order]
-        out = []
-        for s in slices(column):
-            p = Phrases(s, window, k)
-            row, start, wk, wc = p.windows(np.arange(len(p.place)))
-            hit, at = _found(name, mix(wk ^ mix(wc)))
-            mine = np.array(ids[s.first:s.first + s.n], np.int64)
-            doc = p.doc[row]
-            if len(name):
-                hit &= (key[at] == wk) & (content[at] == wc) & (low[at] < mine[doc])
-            doc, start = doc[hit], start[hit]
-            start = start - p.words.first[doc]
-            o = np.argsort(doc, kind="stable")
-            start, cut = start[o], np.searchsorted(doc[o], np.arange(s.n + 1))
-            for d in range(s.n):
-                starts = np.concatenate([start[cut[d]:cut[d + 1]], np.array(gone_before[s.first + d], np.int64)])
-                out.append((ids[s.first + d], *p.outcome(d, starts)))
-        return pa.Table.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(_DONE)], schema=_DONE)
+def _finish(window: int, k: int, id_type):
+    """Stream of shards: confirmed windows (kind 0), then open documents (kind 1)."""
+
+    def run(batches):
+        now, held, name = None, [], None
+        key = content = low = None
+        for batch in batches:
+            for shard, kind, rows in _groups(batch):
+                if shard != now:
+                    now, held, name = shard, [], None
+                if kind == 0:
+                    held.append((rows.column(5).to_numpy().view(np.uint64), rows.column(6).to_numpy().view(np.uint64),
+                                 rows.column(3).to_pylist()))
+                    continue
+                if name is None:
+                    key, content = (np.concatenate([h[i] for h in held]) if held else np.empty(0, U64) for i in (0, 1))
+                    name = mix(key ^ mix(content))  # both hashes in one search; both are compared below
+                    order = np.argsort(name)
+                    name, key, content = name[order], key[order], content[order]
+                    flat = [x for h in held for x in h[2]]
+                    low = [flat[i] for i in order]
+                ids, before = rows.column(3).to_pylist(), rows.column(4).to_pylist()
+                for s in slices(rows.column(2)):
+                    p = Phrases(s, window, k)
+                    row, start, wk, wc = p.windows(np.arange(len(p.place)))
+                    hit, at = _found(name, mix(wk ^ mix(wc)))
+                    if len(name):
+                        hit &= (key[at] == wk) & (content[at] == wc)
+                    mine = ids[s.first:s.first + s.n]
+                    doc = p.doc[row]
+                    hit = np.flatnonzero(hit)
+                    ok = [low[a] < mine[d] for a, d in zip(at[hit].tolist(), doc[hit].tolist())]
+                    hit = hit[np.array(ok, bool)]
+                    doc, start = doc[hit], start[hit]
+                    start = start - p.words.first[doc]
+                    o = np.argsort(doc, kind="stable")
+                    start, cut = start[o], np.searchsorted(doc[o], np.arange(s.n + 1))
+                    made = [(mine[d], *p.outcome(d, np.concatenate(
+                        [start[cut[d]:cut[d + 1]], np.array(before[s.first + d], np.int64)]))) for d in range(s.n)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[0] for x in made], id_type), pa.array([x[1] for x in made], pa.int64()),
+                         pa.array([x[2] for x in made], pa.int64()), pa.array([x[3] for x in made], pa.string())],
+                        names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return run
 
 
+def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return sorted_keys[at] == keys, at
+
+
+def _in_order(rows: DataFrame, tasks: int) -> DataFrame:
+    return rows.repartition(tasks, "shard").sortWithinPartitions("shard", "kind")
+
+
 def drop_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
-    sharded = _sharded(docs)
+    from pyspark.sql.pandas.types import to_arrow_type
+    id_kind, id_type = docs.schema["doc_id"].dataType.simpleString(), to_arrow_type(docs.schema["doc_id"].dataType)
+    sharded, shards = _sharded(docs)
+    tasks = max(shuffle_parts(docs.sparkSession), shards)
     seen = stage(_collect_phrases(sharded, window, k), "phrases")
     recurring = stage(seen.groupBy("phrase").agg(
-        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
+        F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_doc"),
         (F.min("context") != F.max("context")).alias("several"))
-        .where("first_doc < last_doc").select("phrase", "first_doc", "several"), "recurring")
-    routed = seen.select("phrase", F.col("shard").alias("to")).distinct().join(recurring, "phrase")
-    first = stage(sharded.groupBy("shard").cogroup(routed.groupBy("to"))
-                  .applyInArrow(_shard_step(window, k, _SHARD_ARROW), SHARD_OUT), "shards")
+        .where("owner < last_doc").select("phrase", "owner", "several"), "recurring")
+    phrases = seen.select("phrase", "shard").distinct().join(recurring, "phrase").select(
+        "shard", F.lit(0).alias("kind"), F.col("phrase").alias("text"), F.col("owner").alias("id"), "several")
+    texts = sharded.select("shard", F.lit(1).alias("kind"), "text", F.col("doc_id").alias("id"),
+                           F.lit(False).alias("several"))
+    first = stage(_in_order(phrases.unionByName(texts), tasks).mapInArrow(
+        _locate(window, k, id_type),
+        f"kind int, shard bigint, doc_id {id_kind}, n_words bigint, n_removed bigint, kept_sha256 string, text string, "
+        f"gone array<bigint>, key bigint, content bigint, low {id_kind}, high {id_kind}"), "shards")
     windows = first.where("kind = 2")
     confirmed = stage(windows.groupBy("key", "content").agg(F.min("low").alias("low"), F.max("high").alias("high"))
                       .where("low < high").select("key", "content", "low"), "confirmed")
-    wanted = windows.select(F.col("shard").alias("to"), "key", "content").join(confirmed, ["key", "content"])
-    rest = (first.where("kind = 1").select("shard", "doc_id", "text", "gone").groupBy("shard")
-            .cogroup(wanted.groupBy("to"))
-            .applyInArrow(_finish_step(window, k), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"))
+    wanted = windows.select("shard", "key", "content").distinct().join(confirmed, ["key", "content"]).select(
+        "shard", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("text"), F.col("low").alias("id"),
+        F.lit(None).cast("array<bigint>").alias("gone"), "key", "content")
+    open_ = first.where("kind = 1").select(
+        "shard", "kind", "text", F.col("doc_id").alias("id"), "gone", F.lit(0).cast("bigint").alias("key"),
+        F.lit(0).cast("bigint").alias("content"))
+    rest = _in_order(wanted.unionByName(open_), tasks).mapInArrow(
+        _finish(window, k, id_type), f"doc_id {id_kind}, n_words bigint, n_removed bigint, kept_sha256 string")
     return first.where("kind = 0").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(rest)
 
 
