@@ -319,7 +319,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame
         F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_doc"),
         (F.min("context") != F.max("context")).alias("several"))
         .where("owner < last_doc").select("phrase", "owner", "several"), "recurring")
-    phrases = seen.select("phrase", "shard").distinct().join(recurring, "phrase").select(
+    phrases = seen.select("phrase", "shard").join(recurring, "phrase").select(
         "shard", F.lit(0).alias("kind"), F.col("phrase").alias("text"), F.col("owner").alias("id"), "several")
     texts = sharded.select("shard", F.lit(1).alias("kind"), "text", F.col("doc_id").alias("id"),
                            F.lit(False).alias("several"))
@@ -330,7 +330,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame
     windows = first.where("kind = 2")
     confirmed = stage(windows.groupBy("key", "content").agg(F.min("low").alias("low"), F.max("high").alias("high"))
                       .where("low < high").select("key", "content", "low"), "confirmed")
-    wanted = windows.select("shard", "key", "content").distinct().join(confirmed, ["key", "content"]).select(
+    wanted = windows.select("shard", "key", "content").join(confirmed, ["key", "content"]).select(
         "shard", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("text"), F.col("low").alias("id"),
         F.lit(None).cast("array<bigint>").alias("gone"), "key", "content")
     open_ = first.where("kind = 1").select(
