@@ -225,3 +225,32 @@ def test_phrases_with_text_ids_and_long_texts(spark):
     df = spark.createDataFrame(data, "doc_id string, text string")
     got = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in phrase_dedup.drop_repeats(df).collect()}
     assert got == {("b", 90): 90, ("a", 100): 0, ("c", 150_000): 0, ("d", 1000): 1000, (None, 90): 0, ("a", 300): 0}
+
+
+def test_a_repeated_doc_id_with_another_text_loses_nothing(spark):
+    from turnstone.llm import decontaminate
+    same, other = "same words here now and then some", "unique text that stands only once here"
+    leak = " ".join(words(20, 88))
+    data = [(1, same), (1, other), (2, same), (3, leak), (3, "a clean text under the same number"), (4, None), (4, leak + " x"),
+            (None, same)]
+    docs = frame(spark, data)
+
+    def left(df):
+        assert df.columns == docs.columns
+        return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+    def want(gone):
+        return sorted((x for x in data if x not in gone), key=str)
+
+    assert left(exact_dedup.drop_copies(docs)) == want([(1, same)])
+    got = left(minmax_dedup.drop_near_copies(docs, k=5))  # one row of each group; which one depends on the digests
+    groups = [{(1, same), (2, same)}, {(3, leak), (4, leak + " x")}]
+    assert all(len(g & set(got)) == 1 for g in groups)
+    assert [x for x in got if not any(x in g for g in groups)] == want(groups[0] | groups[1])
+    items = spark.createDataFrame([("q", leak)], "item_id string, text string")
+    assert left(decontaminate.drop_leaks(docs, items)) == want([(3, leak), (4, leak + " x")])
+    lines = [(1, "zeta one line here\nalpha line that is long enough"), (1, "zeta other\nkeeps this one too"),
+             (2, "zeta one line here\nbeta line that is long enough")]
+    wide = frame(spark, lines).withColumnRenamed("rep", "removed")
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(wide).collect()}
+    assert got == {lines[0], lines[1], (2, "beta line that is long enough")}

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstone.llm.arrays import ALNUM, LOWER, Words, grams, slices, sliding_argmin, text_array
+from turnstone.llm.shared import row_name, text_md5
 
 WINDOW = 10
 K = 5
@@ -210,9 +211,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without contaminated rows; its columns are kept. Rows without a doc_id stay."""
-    gone = decontaminate(docs, items, **options).where("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without contaminated rows; its columns are kept. Rows without a doc_id stay.
+
+    A row is named by doc_id and text, so a clean text under the doc_id of a
+    contaminated one stays.
+    """
+    named = docs.select(row_name(docs).alias("doc_id"), docs["text"])
+    gone = decontaminate(named, items, **options).where("contaminated AND doc_id.doc_id IS NOT NULL").select(
+        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.text_md5").alias("gone_md5")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (text_md5(docs) == gone["gone_md5"])
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 SQL = """

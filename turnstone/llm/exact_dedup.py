@@ -54,10 +54,14 @@ def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 def drop_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``docs`` without the rows that lose to an equal text; its columns are kept.
 
-    Rows without a doc_id cannot be told apart by key, so all of them stay.
+    A row is named by doc_id and digest, so another text under the same doc_id
+    is not touched. Rows without a doc_id cannot be told apart by key, so all of
+    them stay.
     """
-    gone = exact_dedup(docs, support).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = exact_dedup(docs, support).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha256")).distinct()
+    digest = F.sha2(ascii_lower(F.coalesce(docs["text"], F.lit(""))), 256)
+    return docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (digest == gone["gone_sha256"]), "left_anti").select(docs.columns)
 
 
 SQL = """

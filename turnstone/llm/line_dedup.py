@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, P_BYTE, U64, Slice, as_long, byte_values, mix, prefix_sums,
                                   run_hash, slices, text_array)
 from turnstone.llm.neardup import near_components
-from turnstone.llm.shared import stage
+from turnstone.llm.shared import row_name, stage, text_md5
 
 SHINGLE = 8
 NUM, DEN = 80, 100
@@ -191,11 +191,16 @@ def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
 
 
 def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the repeated lines cut from ``text``; its columns are kept."""
-    gone = find_repeated_lines(docs, **options).where("n_removed > 0").select(
-        F.col("doc_id").alias("gone_id"), "removed").dropDuplicates(["gone_id"])
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i.cast("bigint"))), "\n")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
-    rest = [c for c in docs.columns if c != "text"]
-    return (docs.join(gone, docs["doc_id"] == gone["gone_id"], "left")
-            .select(*[docs[c] for c in rest], text.alias("text")).select(docs.columns))
+    """``docs`` with the repeated lines cut from ``text``; its columns are kept.
+
+    A row is named by doc_id and text, so a doc_id that repeats with another
+    text loses only the lines that repeat; rows without a doc_id keep theirs.
+    """
+    named = docs.where(docs["doc_id"].isNotNull()).select(row_name(docs).alias("doc_id"), docs["text"])
+    gone = find_repeated_lines(named, **options).where("n_removed > 0").select(
+        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.text_md5").alias("gone_md5"),
+        F.col("removed").alias("gone_lines")).dropDuplicates(["gone_id", "gone_md5"])
+    same = (docs["doc_id"] == gone["gone_id"]) & (text_md5(docs) == gone["gone_md5"])
+    kept = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda x, i: ~F.array_contains(gone["gone_lines"], i.cast("bigint"))), "\n")
+    text = F.when(gone["gone_lines"].isNull(), docs["text"]).otherwise(kept)
+    return docs.join(gone, same, "left").select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, U64, Words, as_long, grams, mix, run_hash, prefix_sums, P_WORD,
                                   slices, text_array)
 from turnstone.llm.neardup import near_components, shared_keys
-from turnstone.llm.shared import stage
+from turnstone.llm.shared import stage, text_md5
+from turnstone.operators.prefix import running_totals
 
 SHINGLE = 4
 NUM, DEN = 80, 100
@@ -153,10 +154,36 @@ def minmax_dedup(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = D
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _distinct_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, own): one id per different text; ``own`` is the doc_id, or a new one above all doc_ids for the
+    second and further texts of a repeated doc_id, in the order of their digests."""
+    named = stage(docs.where(docs["doc_id"].isNotNull()).select(docs["doc_id"], text_md5(docs).alias("text_md5")), "names")
+    first = named.groupBy("doc_id").agg(F.min("text_md5").alias("first_md5"), F.max("text_md5").alias("last_md5"))
+    several = stage(first.where("first_md5 <> last_md5").select("doc_id", "first_md5"), "several")
+    if several.isEmpty():
+        return docs.select(docs["doc_id"], docs["text"], docs["doc_id"].alias("own"))
+    extra = named.join(several, "doc_id").where("text_md5 <> first_md5").select(
+        F.col("doc_id").alias("extra_id"), F.col("text_md5").alias("extra_md5"), F.lit(1).cast("bigint").alias("one")).distinct()
+    top = named.agg(F.max("doc_id")).first()[0]
+    extra = stage(running_totals(extra, "extra_id", ["one"], tiebreak=["extra_md5"]).select(
+        "extra_id", "extra_md5", (F.col("cum_one") + top).alias("new_id")), "extra")
+    same = (docs["doc_id"] == extra["extra_id"]) & (text_md5(docs) == extra["extra_md5"])
+    return docs.join(extra, same, "left").select(docs["doc_id"], docs["text"], F.coalesce("new_id", docs["doc_id"]).alias("own"))
+
+
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document per component; its columns are kept. Rows without a doc_id stay."""
-    gone = minmax_dedup(docs, **options).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one document per component; its columns are kept. Rows without a doc_id stay.
+
+    Texts are judged one by one, also where a doc_id repeats with another text;
+    rows that repeat doc_id and text stay or go together.
+    """
+    rows = _distinct_rows(docs)
+    found = minmax_dedup(rows.select(F.col("own").alias("doc_id"), "text"), **options)
+    lost = found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("own")).distinct()
+    gone = stage(rows.join(lost, "own", "left_semi").select(
+        F.col("doc_id").alias("gone_id"), text_md5(rows).alias("gone_md5")).distinct(), "gone")
+    same = (docs["doc_id"] == gone["gone_id"]) & (text_md5(docs) == gone["gone_md5"])
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 SQL = """

@@ -32,6 +32,16 @@ def ascii_lower(col):
         F.translate(col, _UPPER, _UPPER.lower()))
 
 
+def text_md5(docs: DataFrame):
+    """128 bits that tell the texts of one doc_id apart; a null text counts as empty."""
+    return F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
+
+
+def row_name(docs: DataFrame):
+    """What names a row where a doc_id may repeat with another text."""
+    return F.struct(docs["doc_id"].alias("doc_id"), text_md5(docs).alias("text_md5"))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
