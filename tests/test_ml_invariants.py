@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from turnstone.operators import causal as ca
@@ -235,6 +236,37 @@ def test_background_attributions_equal_brute_force(spark):
         assert math.isclose(base + phi[r].sum(), f(x), abs_tol=1e-9)
 
 
+def test_background_of_any_size_is_counted_by_pattern(spark, monkeypatch):
+    """A whole frame as background equals its rows as a matrix, also with patterns that are not tabled; a path that tests
+    a feature twice and the empty background are covered."""
+    from pyspark.ml.functions import array_to_vector
+
+    from turnstone.operators import boosting, treeshap
+    rng = np.random.default_rng(6)
+    X = rng.random((400, 5)).round(2)
+    y = ((X[:, 0] * X[:, 3] + 0.4 * X[:, 1] - 0.2 * X[:, 4]) > 0.35).astype(float)
+    df = spark.createDataFrame([(i, 0, [float(v) for v in r], float(l), 1.0, False) for i, (r, l) in enumerate(zip(X, y))],
+                               "key long, group int, x array<double>, label double, weight double, held boolean")
+    df = df.withColumn("features", array_to_vector("x")).persist()
+    cuts = boosting.bin_cuts(df)
+    model = boosting.to_model(spark, boosting.boost(df, [boosting.Fit(0, {"n_estimators": 4, "max_depth": 5})], cuts)[0], cuts)
+    paths = treeshap.pack(treeshap.read_trees(model, spark))
+    want_base, want = treeshap.interventional_batch(X[:40], X, paths, 5)
+    slow = np.mean([treeshap.interventional_batch(X[:40], X[i:i + 1], paths, 5)[1] for i in range(400)], axis=0)
+    assert np.allclose(want, slow, atol=1e-9)
+    monkeypatch.setattr(treeshap, "TABLE_BITS", 2)
+    fresh = treeshap.pack(treeshap.read_trees(model, spark))
+    assert np.allclose(treeshap.interventional_batch(X[:40], X, fresh, 5)[1], want, atol=1e-12)
+    assert np.allclose(treeshap.attribute_batch(X, fresh, 5)[1], treeshap.attribute_batch(X, paths, 5)[1], atol=1e-12)
+    monkeypatch.undo()
+    got = treeshap.background_attributions(model, df.where("key < 40"), df, key="key").orderBy("key").collect()
+    assert np.allclose([[a["shap"] for a in r["attributions"]] for r in got], want, atol=1e-9)
+    assert all(math.isclose(r["base_value"], want_base, abs_tol=1e-9) for r in got)
+    assert all(math.isclose(r["base_value"] + sum(a["shap"] for a in r["attributions"]), r["margin2"], abs_tol=1e-9) for r in got)
+    with pytest.raises(ValueError, match="no rows"):
+        treeshap.background_attributions(model, df, df.limit(0), key="key")
+
+
 def test_knn_between_two_frames_keeps_equal_ids(spark):
     from turnstone.operators.knn import knn_join
     q = spark.createDataFrame([(1, [0.0, 0.0])], "id long, vec array<double>")
