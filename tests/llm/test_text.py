@@ -297,3 +297,15 @@ def test_html_against_marked_articles():
         inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
         want = " ".join(html.unescape(re.sub(r"<[^>]*>", "", block.sub(" ", inner))).split())
         assert html_text.main_text(page) == want
+
+
+def test_token_ids_of_long_runs():
+    from tokenizers import Tokenizer
+    from turnstone.llm import packing
+    path = packing.default_vocabulary()
+    with open(path, "rb") as f:
+        ids = packing.TokenIds(f.read())
+    own = Tokenizer.from_file(path)
+    for text in (" " * 2_000_000, "\n" * 1_000_000, "a word" + "\t " * 600_000 + "and more  words", "x" * 150_000, "!" * 200_000,
+                 "head " + " " * 99_990 + "tail", "y" * 100_001 + " z"):
+        assert np.frombuffer(ids(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids

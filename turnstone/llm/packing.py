@@ -47,6 +47,9 @@ END = 0
 STEP = 8
 BUCKET_ROWS = 20_000
 CACHE = 1_000_000
+#: code points without a single space between words from which the vocabulary's own library takes over: a run of some
+#: 700,000 white-space characters overflows the other one's stack
+LONG = 100_000
 
 #: the published split pattern of this vocabulary (fixed value)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -76,17 +79,22 @@ class TokenIds:
         self.uneven = re.compile(r"\s\s")
         self.single = re.compile(r"(?<=\S) (?=\S)")
 
+    def _own(self, text: str) -> bytes:
+        if self.slow is None:
+            from tokenizers import Tokenizer
+            self.slow = Tokenizer.from_buffer(self.json)
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _chunk(self, text: str) -> bytes:
+        if len(text) > LONG:
+            return self._own(text)
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special):
-            if self.slow is None:
-                from tokenizers import Tokenizer
-                self.slow = Tokenizer.from_buffer(self.json)
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._own(text)
         # a space between two non-space characters always begins a new pre-token
         head, *rest = self.single.split(text) if self.uneven.search(text) else text.split(" ")
         have = self.spaced
