@@ -12,8 +12,9 @@ sets and joined by a distributed union-find (``neardup``, ``graph``). Of all
 lines of a component, equal and similar, the first stays: smallest doc_id, then
 smallest line number.
 
-Equal lines are one id (64 bits of hash over the raw bytes), so a line that a
-third of all documents hold is compared once.
+Equal lines are one id (XXH3, 64 bits over the raw bytes) and are reduced to one
+row, map-side first, before any signature is made, so a line that a third of
+all documents hold is signed and compared once.
 
 Defined cases: lines are what stands between line feeds; blank lines are
 neither removed nor counted as copies; a line shorter than ``k`` has itself as
@@ -27,19 +28,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, P_BYTE, U64, Slice, as_long, byte_values, mix, prefix_sums,
                                   run_hash, slices, text_array)
-from turnstone.llm.neardup import near_components
+from turnstone.llm.neardup import different_buckets, near_components, shared_keys
 from turnstone.llm.shared import row_name, stage, text_md5
 
 SHINGLE = 8
 NUM, DEN = 80, 100
 BANDS, ROWS = 10, 4
 BINS = BANDS * ROWS
+#: pivots that an undecided line is laid against, per round of stars
+STARS = (1, 2, 4, 4)
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -57,7 +60,9 @@ class Lines:
         self.number = np.arange(len(start)) - np.repeat(np.cumsum(per) - per, per)
         full = np.concatenate([[0], np.cumsum(NOT_SPACE[s.data])])
         self.blank = full[end] == full[start]
-        self.hash = run_hash(prefix_sums(byte_values(3)[s.data], P_BYTE), start, end)
+        raw = memoryview(np.ascontiguousarray(s.data))
+        self.hash = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())),
+                                U64, len(start))
 
 
 def _shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +78,12 @@ def _shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, k: int) -> t
 
 
 def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """One-permutation signatures with borrowed bins; every row must have a shingle."""
+    """One-permutation signatures with borrowed bins; every row must have a shingle.
+
+    The shingle hashes are mixed already: their high half picks the bin, the hash itself is the value.
+    """
     out = np.full(n * BINS, _EMPTY, U64)
-    x = mix(h ^ U64(0x5851F42D4C957F2D))
-    np.minimum.at(out, row * BINS + ((x >> U64(32)) * U64(BINS) >> U64(32)).astype(np.int64), mix(x))
+    np.minimum.at(out, row * BINS + ((h >> U64(32)) * U64(BINS) >> U64(32)).astype(np.int64), h)
     out = out.reshape(n, BINS)
     own = out != _EMPTY
     r, c = np.nonzero(~own)
@@ -136,19 +143,19 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n_lines bigint, numbers array<bigint>, hashes array<bigint>")
 
 
-def _bands(docs: DataFrame, k: int) -> DataFrame:
+def _bands(lines: DataFrame, k: int) -> DataFrame:
+    """(key, id) of the distinct lines (id, text)."""
+
     def run(batches):
         for batch in batches:
             for s in slices(text_array(batch)):
-                x = Lines(s)
-                at = _distinct_lines(s, x)
-                if len(at):
-                    h, row = _shingles(s.data, x.start[at], x.end[at], k)
-                    keys = band_keys(signatures(h, row, len(at)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(as_long(keys.ravel())), pa.array(as_long(np.repeat(x.hash[at], BANDS)))], ["key", "id"])
+                h, row = _shingles(s.data, s.offsets[:-1], s.offsets[1:], k)
+                keys = band_keys(signatures(h, row, s.n))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(as_long(keys.ravel())), batch.column(0).slice(s.first, s.n).take(pa.array(np.repeat(np.arange(s.n), BANDS)))],
+                    ["key", "id"])
 
-    return docs.mapInArrow(run, "key bigint, id bigint")
+    return lines.select("id", "text").mapInArrow(run, "key bigint, id bigint")
 
 
 def _line_texts(docs: DataFrame) -> DataFrame:
@@ -168,14 +175,13 @@ def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
     narrow = docs.select(docs["doc_id"], docs["text"])
     named = narrow.where("doc_id IS NOT NULL")
     occ = stage(_occurrences(narrow), "lines")
-    spread = W.partitionBy("key")
-    members = (_bands(named, k).select("key", "id", F.min("id").over(spread).alias("low"), F.max("id").over(spread).alias("high"))
-               .where("low < high").select("key", "id").distinct())
+    lines = stage(_line_texts(named).groupBy("id").agg(F.first("text").alias("text")), "distinct-lines")
+    members = different_buckets(shared_keys(stage(_bands(lines, k), "bands")))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        return _line_texts(named).join(ids, "id", "left_semi").dropDuplicates(["id"])
+        return lines.join(ids, "id", "left_semi")
 
-    comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den), "components")
+    comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den, stars=STARS), "components")
     rows = occ.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("numbers", "hashes")).alias("x")).select(
         "doc_id", F.col("x.numbers").alias("number"), F.col("x.hashes").alias("id"))
     first = stage(rows.groupBy("id").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))

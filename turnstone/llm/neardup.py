@@ -1,14 +1,15 @@
 """From band keys to verified components, for any kind of set.
 
 A bucket is all ids that share a band key. Instead of all pairs of a bucket,
-rounds of stars are compared (``ROUNDS``; the first two join the bulk of a group):
+rounds of stars are compared (``STARS``; the first two join the bulk of a group):
 
 1. Every bucket that still holds ids of several components has one pivot, a
    random member of its largest component; every id outside that component is
    laid against one pivot, and the Jaccard similarity of the full sets decides.
    Confirmed links join components, and the next round takes other pivots. A
-   round costs one comparison per undecided id.
-2. What is still undecided after ``ROUNDS`` rounds, or when a round finds
+   round costs one comparison per undecided id, or as many as ``stars`` names
+   for it, each with another member of the largest component.
+2. What is still undecided after the rounds, or when a round finds
    nothing, is paired. Buckets of at most ``FEW`` ids (chance collisions) give
    their pairs directly, one or two per id. Larger ones go through an exact
    prefix filter: shingles are ordered from rare
@@ -41,7 +42,7 @@ from turnstone.llm.shared import stage
 
 Sets = Callable[[pa.Array], Iterator[np.ndarray]]
 ROWS = 256
-ROUNDS = 2
+STARS = (1, 1)
 FEW = 4
 MAP = 512
 
@@ -85,23 +86,37 @@ def shared_keys(bands: DataFrame) -> DataFrame:
     return bands.join(several, "key", "left_semi")
 
 
+def different_buckets(members: DataFrame) -> DataFrame:
+    """``members`` (key, id) without buckets that hold the same ids as another one; ``members`` is staged here.
+
+    Buckets are the same when size, smallest and largest id and two 64-bit xors of hashed ids agree.
+    """
+    members = stage(members, "members")
+    per = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    one = stage(per.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key")).select("key"), "different")
+    return members.join(one, "key", "left_semi")
+
+
 def near_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets_of: Sets,
-                    num: int, den: int) -> DataFrame:
+                    num: int, den: int, stars: tuple[int, ...] = STARS) -> DataFrame:
     """(id, component) of all ids that share a key with another; component is the smallest id reachable.
 
     ``members``: distinct (key, id) of the keys with several ids. ``fetch`` gives (id, text) for a table of ids.
+    ``stars``: for each round, how many pivots an undecided id is laid against; the result is the same for all.
     """
     place = stage(members.select("key", "id", F.col("id").alias("c")), "place")
     comp = stage(place.select("id").distinct().withColumn("component", F.col("id")), "component")
     texts = stage(fetch(comp.select("id")), "texts")
     tested = None
-    for turn in range(ROUNDS):
-        stars = _stars(place, turn)
+    for turn, pivots in enumerate(stars):
+        rays = _stars(place, turn, pivots)
         if tested is not None:
-            stars = stars.join(tested, ["u", "v"], "left_anti")
-        stars = stage(stars, "stars")
-        tested = stars.select("u", "v") if tested is None else tested.unionByName(stars.select("u", "v"))
-        links = stage(_verify(stars.select("u", "v"), texts, sets_of, num, den).join(stars, ["u", "v"]), "verified")
+            rays = rays.join(tested, ["u", "v"], "left_anti")
+        rays = stage(rays, "stars")
+        tested = rays.select("u", "v") if tested is None else tested.unionByName(rays.select("u", "v"))
+        links = stage(_verify(rays.select("u", "v"), texts, sets_of, num, den).join(rays, ["u", "v"]), "verified")
         moved = stage(components(links, "cu", "cv"), "moved")
         if not moved.limit(1).count():
             break
@@ -133,19 +148,27 @@ def _undecided(place: DataFrame) -> DataFrame:
     return stage(place.join(split, "key", "left_semi"), "place")
 
 
-def _stars(place: DataFrame, turn: int) -> DataFrame:
-    """(u, v, cu, cv): every id outside the largest component of its buckets, against one pivot."""
+def _stars(place: DataFrame, turn: int, pivots: int = 1) -> DataFrame:
+    """(u, v, cu, cv): every id outside the largest component of its buckets, against ``pivots`` of its members at most."""
     if turn:
         size = stage(place.select("id", "c").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("m")), "sizes")
         sized = stage(place.join(size, "c"), "sized")
     else:  # every id is its own component yet
         sized = place.withColumn("m", F.lit(1).cast("bigint"))
-    pivot = stage(sized.groupBy("key").agg(
-        F.max(F.struct("m", F.xxhash64("id", F.lit(turn)).alias("h"), "id", "c")).alias("p"))
-        .select("key", F.col("p.id").alias("v"), F.col("p.c").alias("cv"), F.col("p.m").alias("mv"), F.col("p.h").alias("h")), "pivots")
-    near = sized.join(pivot, "key").where("c <> cv").groupBy("id", "c", "v", "cv", "mv", "h").agg(F.count(F.lit(1)).alias("shared"))
-    best = near.groupBy("id", "c").agg(F.max(F.struct("mv", "shared", "h", "v", "cv")).alias("b"))
-    return best.select(F.col("id").alias("u"), F.col("b.v").alias("v"), F.col("c").alias("cu"), F.col("b.cv").alias("cv"))
+    draws = [F.lit(turn)] if pivots == 1 else [F.lit(f"{turn}.{j}") for j in range(pivots)]
+    found = sized.groupBy("key").agg(*[F.max(F.struct("m", F.xxhash64("id", d).alias("h"), "id", "c")).alias(f"p{j}")
+                                       for j, d in enumerate(draws)])
+    if pivots == 1:
+        found = found.select("key", F.lit(0).alias("draw"), F.col("p0").alias("p"))
+    else:
+        found = found.select("key", F.posexplode(F.array(*[f"p{j}" for j in range(pivots)])).alias("draw", "p"))
+    pivot = stage(found.select("key", "draw", F.col("p.id").alias("v"), F.col("p.c").alias("cv"), F.col("p.m").alias("mv"),
+                               F.col("p.h").alias("h")), "pivots")
+    near = (sized.join(pivot, "key").where("c <> cv").groupBy("id", "c", "draw", "v", "cv", "mv", "h")
+            .agg(F.count(F.lit(1)).alias("shared")))
+    best = near.groupBy("id", "c", "draw").agg(F.max(F.struct("mv", "shared", "h", "v", "cv")).alias("b"))
+    rays = best.select(F.col("id").alias("u"), F.col("b.v").alias("v"), F.col("c").alias("cu"), F.col("b.cv").alias("cv"))
+    return rays if pivots == 1 else rays.distinct()
 
 
 def _ordered_pair():
