@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, P_BYTE, U64, Slice, as_long, byte_values, mix, prefix_sums,
                                   run_hash, slices, text_array)
-from turnstone.llm.neardup import different_buckets, near_components, shared_keys
+from turnstone.llm.neardup import different_buckets, near_components
 from turnstone.llm.shared import row_name, stage, text_md5
 
 SHINGLE = 8
@@ -42,7 +42,9 @@ NUM, DEN = 80, 100
 BANDS, ROWS = 10, 4
 BINS = BANDS * ROWS
 #: pivots that an undecided line is laid against, per round of stars
-STARS = (1, 2, 4, 4)
+STARS = (1, 4, 8)
+#: buckets up to this size list their pairs, under the exact size and parity bounds
+FEW = 32
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -176,12 +178,14 @@ def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
     named = narrow.where("doc_id IS NOT NULL")
     occ = stage(_occurrences(narrow), "lines")
     lines = stage(_line_texts(named).groupBy("id").agg(F.first("text").alias("text")), "distinct-lines")
-    members = different_buckets(shared_keys(stage(_bands(lines, k), "bands")))
+    bands = stage(_bands(lines, k), "bands")  # lines are distinct, so a key that stands twice has two of them
+    several = stage(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
+    members = different_buckets(bands.join(several, "key", "left_semi"))
 
     def fetch(ids: DataFrame) -> DataFrame:
         return lines.join(ids, "id", "left_semi")
 
-    comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den, stars=STARS), "components")
+    comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den, stars=STARS, few=FEW), "components")
     rows = occ.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("numbers", "hashes")).alias("x")).select(
         "doc_id", F.col("x.numbers").alias("number"), F.col("x.hashes").alias("id"))
     first = stage(rows.groupBy("id").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))

@@ -45,6 +45,7 @@ ROWS = 256
 STARS = (1, 1)
 FEW = 4
 MAP = 512
+MAP_NAMES = [f"b{k}" for k in range(MAP // 64)]
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
@@ -100,16 +101,18 @@ def different_buckets(members: DataFrame) -> DataFrame:
 
 
 def near_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], sets_of: Sets,
-                    num: int, den: int, stars: tuple[int, ...] = STARS) -> DataFrame:
+                    num: int, den: int, stars: tuple[int, ...] = STARS, few: int = FEW) -> DataFrame:
     """(id, component) of all ids that share a key with another; component is the smallest id reachable.
 
     ``members``: distinct (key, id) of the keys with several ids. ``fetch`` gives (id, text) for a table of ids.
-    ``stars``: for each round, how many pivots an undecided id is laid against; the result is the same for all.
+    ``stars``: for each round, how many pivots an undecided id is laid against. ``few``: buckets up to this size give
+    their pairs directly; with more than ``FEW``, sizes and parity maps are tested in that join, and only larger
+    buckets go through the rounds after the first. The result is the same for all.
     """
     place = stage(members.select("key", "id", F.col("id").alias("c")), "place")
     comp = stage(place.select("id").distinct().withColumn("component", F.col("id")), "component")
     texts = stage(fetch(comp.select("id")), "texts")
-    tested = None
+    tested = aside = None
     for turn, pivots in enumerate(stars):
         rays = _stars(place, turn, pivots)
         if tested is not None:
@@ -122,9 +125,16 @@ def near_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame],
             break
         comp = stage(_relabel(comp, "component", moved), "component")
         place = _undecided(_relabel(place, "c", moved))
+        if few > FEW and aside is None:
+            sizes = stage(place.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
+            aside = place.join(sizes.where(F.col("size") <= few).select("key"), "key", "left_semi").select("key", "id")
+            place = stage(place.join(sizes.where(F.col("size") > few).select("key"), "key", "left_semi"), "place")
+    if aside is not None:
+        place = place.unionByName(aside.join(comp.withColumnRenamed("component", "c"), "id"))
     sized = stage(place.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("key"))), "sized")
-    pairs = _few_pairs(sized.where(F.col("size") <= FEW)).unionByName(
-        _cross_pairs(sized.where(F.col("size") > FEW), texts, sets_of, num, den)).distinct()
+    small, large = sized.where(F.col("size") <= few), sized.where(F.col("size") > few)
+    listed = _few_pairs(small) if few <= FEW else _mapped_pairs(small, texts, sets_of, num, den)
+    pairs = listed.unionByName(_cross_pairs(large, texts, sets_of, num, den)).distinct()
     if tested is not None:
         both = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = pairs.join(both, ["u", "v"], "left_anti")
@@ -182,6 +192,39 @@ def _few_pairs(place: DataFrame) -> DataFrame:
     return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.c") < F.col("r.c"))).select(*_ordered_pair())
 
 
+def _parity_maps(ids: DataFrame, sets_of: Sets) -> DataFrame:
+    """(id, n, b0..b7): set size and 512-bit parity map of (id, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                sets = list(sets_of(part.column(1)))
+                bits = np.stack([np.bincount((x >> np.uint64(20) & np.uint64(MAP - 1)).astype(np.int64), minlength=MAP) & 1
+                                 for x in sets]).astype(np.uint8)
+                words = np.packbits(bits, axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) for x in sets], pa.int64()),
+                     *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(MAP // 64))], ["id", "n", *MAP_NAMES])
+
+    return ids.select("id", "text").mapInArrow(run, "id bigint, n bigint, " + ", ".join(f"{b} bigint" for b in MAP_NAMES))
+
+
+def _can_reach(num: int, den: int):
+    """Whether sizes and parity maps of the rows ``l`` and ``r`` leave room for num/den."""
+    differ = sum(F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"r.{b}"))) for b in MAP_NAMES)
+    return ((F.col("l.n") * den >= F.col("r.n") * num) & (F.col("r.n") * den >= F.col("l.n") * num)
+            & (differ * (num + den) <= (F.col("l.n") + F.col("r.n")) * (den - num)))
+
+
+def _mapped_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
+    """(u, v, cu, cv): the pairs of ``_few_pairs`` that can reach num/den."""
+    ids = texts.join(place.select("id").distinct(), "id", "left_semi")
+    mapped = stage(place.select("key", "id", "c").join(_parity_maps(ids, sets_of), "id"), "mapped")
+    l, r = mapped.alias("l"), mapped.alias("r")
+    return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.c") < F.col("r.c")) & _can_reach(num, den)).select(*_ordered_pair())
+
+
 def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, den: int) -> DataFrame:
     """(u, v, cu, cv): all pairs of different components that can reach num/den, by prefix and position."""
 
@@ -196,18 +239,6 @@ def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, de
                     [part.column(0).take(at), part.column(1).take(at), pa.array(np.repeat(size, size)),
                      pa.array(np.concatenate(sets).view(np.int64))], ["id", "c", "n", "g"])
 
-    def maps(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
-                bits = np.stack([np.bincount((x >> np.uint64(20) & np.uint64(MAP - 1)).astype(np.int64), minlength=MAP) & 1
-                                 for x in sets_of(part.column(2))]).astype(np.uint8)
-                words = np.packbits(bits, axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(MAP // 64))],
-                    ["id", *names])
-
-    names = [f"b{k}" for k in range(MAP // 64)]
     ids = stage(place.select("id", "c").distinct().join(texts, "id").select("id", "c", "text"), "undecided")
     rows = ids.mapInArrow(run, "id bigint, c bigint, n bigint, g bigint")
     common = stage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
@@ -215,13 +246,10 @@ def _cross_pairs(place: DataFrame, texts: DataFrame, sets_of: Sets, num: int, de
     rows = rows.join(common, "g").select(
         "id", "c", "n", "g", (F.col("n") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("df", "g")) - 1)
         .alias("p"))  # place in the order from rare to common; shingles of one set only come first
-    parity = ids.mapInArrow(maps, "id bigint, " + ", ".join(f"{b} bigint" for b in names))
+    parity = _parity_maps(ids, sets_of).drop("n")
     prefix = stage(rows.where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * num / den)).join(parity, "id"), "prefix")
     l, r = prefix.alias("l"), prefix.alias("r")
-    differ = sum(F.bit_count(F.col(f"l.{b}").bitwiseXOR(F.col(f"r.{b}"))) for b in names)
     room = F.least(F.col("l.n") - F.col("l.p"), F.col("r.n") - F.col("r.p"))
     return (l.join(r, (F.col("l.g") == F.col("r.g")) & (F.col("l.c") < F.col("r.c"))
-                   & (F.col("l.n") * den >= F.col("r.n") * num) & (F.col("r.n") * den >= F.col("l.n") * num)
-                   & (room * (num + den) >= (F.col("l.n") + F.col("r.n")) * num)
-                   & (differ * (num + den) <= (F.col("l.n") + F.col("r.n")) * (den - num)))
+                   & (room * (num + den) >= (F.col("l.n") + F.col("r.n")) * num) & _can_reach(num, den))
             .select(*_ordered_pair()))
