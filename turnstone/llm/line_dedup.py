@@ -5,7 +5,8 @@ folded). Signatures come from one hash per shingle: the hash picks one of
 ``BANDS * ROWS`` bins and the smallest value of each bin is kept; an empty bin
 borrows from another one in an order that is the same for all lines, so equal
 places still agree with the Jaccard probability. With 10 bands of 4, a pair at
-0.8 shares a band with probability 0.995, one at 0.9 with more than 0.9999.
+0.8 shares a band with probability 0.995 (somewhat less below 40 shingles, where
+borrowed bins depend on each other), one at 0.9 with more than 0.9999.
 
 Lines that share a band are confirmed by the exact Jaccard similarity of their
 sets and joined by a distributed union-find (``neardup``, ``graph``). Of all
