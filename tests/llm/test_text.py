@@ -1,6 +1,7 @@
 """Token counts, decontamination, packing, chat, toxicity and HTML against brute force or round trips."""
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from turnstone.llm import chat, decontaminate, html_text, packing, toxicity, wordpiece
+from turnstone.llm import arrays, chat, decontaminate, html_text, packing, toxicity, wordpiece
 from turnstone.llm import grammar as G
 
 from .conftest import frame, hard_rows, words
@@ -83,6 +84,26 @@ def test_leaks(spark, hard):
         str(r[0]) for r in want if not r[5] or r[0] is None)
 
 
+def test_leaks_of_repeated_words(spark):
+    r = np.random.default_rng(4)
+    data = [(i, " ".join(r.choice(["a", "B", "c"], n, p=[.6, .3, .1]))) for i, n in enumerate([0, 3, 9, 10, 11, 40, 200, 400])]
+    items = [(i, " ".join(r.choice(["A", "b"], n, p=[.7, .3]))) for i, n in enumerate([0, 1, 2, 4, 9, 10, 12, 60])] + [(4, "c a c")]
+    got = decontaminate.decontaminate(frame(spark, data), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert rows(got) == leaks_brute(data, items)
+
+
+@pytest.mark.parametrize("phrase", ["na ", "na no ", "a b c a d e "])
+def test_leaks_take_linear_work(phrase):
+    """An item of thousands and a document of hundreds of thousands of repeated words are searched in seconds."""
+    index = decontaminate.ItemIndex(["x", "y"], [phrase * 3_000, "end " + phrase * 3_000], 10, 5)
+    (s,) = arrays.slices(pa.array(["start " + phrase * 150_000 + "stop"]))
+    w = arrays.Words(s, arrays.ALNUM, arrays.LOWER)
+    begun = time.perf_counter()
+    hit, items = index.search(w.hash, w.doc, s.data, w.start, w.end)
+    assert time.perf_counter() - begun < 20
+    assert hit.sum() == w.n - 2 and items == {0: {"x", "y"}}
+
+
 def test_packing(spark, hard, empty):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.default_vocabulary())

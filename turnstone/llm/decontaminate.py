@@ -6,10 +6,12 @@ fingerprint; with ``k = 5`` and ``w = 6`` that is every shared window of 10
 words. Items with fewer than 10 words are one window of their own length n and
 are fingerprinted with ``k = n`` and ``w = 1``, for which the same holds.
 
-Fingerprints of documents and items are joined, and each joined place is
-extended: the document is laid against the item at that offset, equal words
-are found over the whole overlap (hash first, then the words themselves), and
-every run of at least one window is marked.
+Fingerprints of documents and items are joined, and each joined place of a
+document is extended to the windows around it that may hold the fingerprint.
+The hashes of these windows are joined with those of the items' distinct
+windows, and what meets is compared word by word. A repeated word or phrase
+costs one comparison per place of the document, however often an item repeats
+it: the work is linear in the document's words and in the items found.
 
 The benchmark is the stated query set. It is cut into blocks of at most
 ``block_words`` words; one block's fingerprints and words go to the executors
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm.arrays import ALNUM, LOWER, Words, grams, slices, sliding_argmin, text_array
+from turnstone.llm.arrays import ALNUM, LOWER, P_WORD, Words, grams, prefix_sums, run_hash, slices, sliding_argmin, text_array
 from turnstone.llm.shared import row_name, text_md5
 
 WINDOW = 10
@@ -53,70 +55,75 @@ def winnow(words: np.ndarray, doc: np.ndarray, k: int, w: int) -> tuple[np.ndarr
 
 
 class ItemIndex:
-    """Fingerprints and words of one block of items."""
+    """Fingerprints and distinct windows of one block of items."""
 
     def __init__(self, ids: list[str], texts: list[str], window: int, k: int):
-        self.window, self.k = window, k
-        self.ids, self.words, self.items = [], [], []
-        found = defaultdict(list)  # window length -> (hash, item, place)
+        self.window, self.k, self.ids = window, k, ids
+        self.number: dict[bytes, int] = {}  # word -> its number
+        numbers, hashes, items = [], [], []
         for s in slices(pa.array(texts, pa.string())):
             w = Words(s, ALNUM, LOWER)
-            for i in range(s.n):
-                a, b = int(w.first[i]), int(w.first[i + 1])
-                if a == b:
-                    continue
-                n = len(self.items)
-                own = w.hash[a:b]
-                self.ids.append(ids[s.first + i])
-                self.items.append(own)
-                self.words.append([s.data[x:y].tobytes().lower() for x, y in zip(w.start[a:b], w.end[a:b])])
-                size = min(window, b - a)
-                kk, ww = (k, window - k + 1) if size == window else (size, 1)
-                h, at = winnow(own, np.zeros(b - a, np.int64), kk, ww)
-                found[size].append((h, np.full(len(h), n), at))
+            mine = (s.data[x:y].tobytes().lower() for x, y in zip(w.start, w.end))
+            numbers.append(np.array([self.number.setdefault(x, len(self.number)) for x in mine], np.int32))
+            hashes.append(w.hash)
+            items.append(w.doc + s.first)
+        number = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
+        hash_, item = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((hashes, np.uint64), (items, np.int64)))
+        size_of = np.minimum(np.bincount(item, minlength=len(texts)), window)
+        self.lists: list[tuple[int, ...]] = []  # the items that hold a window, each list once
+        known: dict[tuple[int, ...], int] = {}
         self.tables = {}
-        for size, parts in found.items():
-            h, item, at = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(h, kind="stable")
-            self.tables[size] = (h[order], item[order], at[order])
+        for size in np.unique(size_of[size_of > 0]).tolist():
+            own = np.flatnonzero(size_of[item] == size)
+            prints, _ = winnow(hash_[own], item[own], *self._shape(size))
+            full, at = grams(hash_[own], item[own], size)
+            content = number[own][at[:, None] + np.arange(size)]
+            row = np.ascontiguousarray(content).view(f"V{4 * size}").ravel()
+            _, first, group = np.unique(row, return_index=True, return_inverse=True)
+            pairs = np.unique(np.stack([group, item[own][at]]), axis=1)
+            cut = np.searchsorted(pairs[0], np.arange(len(first) + 1))
+            held = np.empty(len(first), np.int64)
+            for g in range(len(first)):
+                of = tuple(pairs[1, cut[g]:cut[g + 1]].tolist())
+                held[g] = known.setdefault(of, len(known))
+                if len(known) > len(self.lists):
+                    self.lists.append(of)
+            order = np.argsort(full[first], kind="stable")
+            self.tables[size] = (np.unique(prints), full[first][order], content[first][order], held[order])
+
+    def _shape(self, size: int) -> tuple[int, int]:
+        """Words of a fingerprint, and fingerprints of a window, for windows of ``size`` words."""
+        return (self.k, size - self.k + 1) if size == self.window else (size, 1)
 
     def search(self, words: np.ndarray, doc: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray):
         """Hit marks for all words, and the set of items found in each text."""
         hit = np.zeros(len(words), bool)
         items: dict[int, set[str]] = defaultdict(set)
-        for size, (h, item, at) in self.tables.items():
-            kk, ww = (self.k, self.window - self.k + 1) if size == self.window else (size, 1)
-            dh, dat = winnow(words, doc, kk, ww)
-            lo, hi = np.searchsorted(h, dh, "left"), np.searchsorted(h, dh, "right")
-            rows = np.flatnonzero(hi > lo)
-            if not len(rows):
+        for size, (prints, full, content, held) in self.tables.items():
+            kk, ww = self._shape(size)
+            h, at = winnow(words, doc, kk, ww)
+            at = at[prints[np.minimum(np.searchsorted(prints, h), len(prints) - 1)] == h]
+            begin = np.unique(at[:, None] - np.arange(ww))
+            begin = begin[(begin >= 0) & (begin + size <= len(words))]
+            begin = begin[doc[begin] == doc[begin + size - 1]]
+            if not len(begin):
                 continue
-            reps = (hi - lo)[rows]
-            k = np.repeat(lo[rows], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-            places = np.repeat(dat[rows], reps)
-            pairs = np.unique(np.stack([doc[places], item[k], places - at[k]]), axis=1)
-            for d, i, shift in pairs.T:
-                for a, b in self._extend(words, doc, data, start, end, int(d), int(i), int(shift), size):
-                    hit[a:b] = True
-                    items[int(d)].add(self.ids[int(i)])
+            mine = run_hash(prefix_sums(words, P_WORD), begin, begin + size)
+            lo, hi = np.searchsorted(full, mine, "left"), np.searchsorted(full, mine, "right")
+            reps = hi - lo  # above one only where different windows share a hash
+            begin = np.repeat(begin, reps)
+            if not len(begin):
+                continue
+            window = np.repeat(lo - np.cumsum(reps) + reps, reps) + np.arange(len(begin))
+            places = begin[:, None] + np.arange(size)
+            read, back = np.unique(places, return_inverse=True)
+            numbers = np.array([self.number.get(data[start[p]:end[p]].tobytes().lower(), -1) for p in read], np.int32)
+            same = (numbers[back.reshape(places.shape)] == content[window]).all(axis=1)
+            hit[places[same].ravel()] = True
+            for d, x in np.unique(np.stack([doc[begin[same]], held[window[same]]]), axis=1).T.tolist():
+                items[d].update(self.ids[i] for i in self.lists[x])
         return hit, items
 
-    def _extend(self, words, doc, data, start, end, d, i, shift, size):
-        """Runs of at least ``size`` equal words with item word q against document word q + shift."""
-        first, last = np.searchsorted(doc, [d, d + 1])
-        item = self.items[i]
-        a, b = max(first, shift), min(last, shift + len(item))
-        if b - a < size:
-            return
-        equal = words[a:b] == item[a - shift:b - shift]
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], equal.view(np.int8), [0]])))
-        for x, y in zip(edge[::2], edge[1::2]):
-            if y - x >= size:
-                mine = [data[start[p]:end[p]].tobytes().lower() for p in range(a + x, a + y)]
-                same = np.array([p == q for p, q in zip(mine, self.words[i][a + x - shift:a + y - shift])])
-                cut = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
-                yield from ((a + x + p, a + x + q) for p, q in zip(cut[::2], cut[1::2]) if q - p >= size)
-
 
 def _blocks(items: DataFrame, block_words: int):
     """Items as blocks of at most ``block_words`` words (one item at least), one block in memory at a time."""
