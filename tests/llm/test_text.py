@@ -311,6 +311,37 @@ def test_html_keeps_text_of_inline_elements():
     assert html_text.main_text(page) == f"{LONG} x=2 drawn thing {MORE} typed"
 
 
+POLISH = ["Wczoraj wieczorem mieszkańcy naszego miasta spotkali się przed ratuszem, aby porozmawiać na temat nowej szkoły.",
+          "Burmistrz obiecał, że budowa rozpocznie się jeszcze przed zimą, jeżeli rada przyjmie budżet bez poprawek."]
+JAPANESE = "昨日の夕方、町の人々は新しい学校について話し合うために市役所の前に集まりました。"
+
+
+def test_html_of_other_languages():
+    nav, foot = '<nav><a href="/">Strona</a> <a href="/k">Kontakt</a></nav>', "<footer>Wszelkie prawa zastrzeżone</footer>"
+    for body in (POLISH, [JAPANESE], ["Nagłówek", *POLISH]):
+        page = nav + "".join(f"<p>{x}</p>" for x in body) + '<ul><li><a href="/a">Inne wiadomości z naszego miasta</a></li></ul>' + foot
+        assert html_text.main_text(page) == " ".join(body)
+    assert html_text.main_text(f"{nav}<p>Krótki tekst</p>{foot}") == "Krótki tekst"
+    assert html_text.main_text(nav + foot) == ""
+    names = " ".join(f"Name{i}" for i in range(30))  # known words elsewhere: no block is text by its length alone
+    assert html_text.main_text(f"{nav}<div>{names}</div>{nav}{nav}<p>{LONG}</p>{foot}") == LONG
+
+
+def test_html_quotes():
+    assert html_text.main_text(f'<p title="x>{LONG}</p><p class="a">{MORE}</p>') == f"{LONG} {MORE}"
+    assert html_text.main_text(f'<p title="a > b" data-x=\'"<i>"\'>{LONG}</p>') == LONG
+    assert html_text.main_text(f"<p don't>{LONG}</p>") == LONG
+    assert html_text.main_text(f"<p title='x>{LONG}</p>") == LONG
+    assert html_text.main_text("<p>a < b and b <3 x") == "a < b and b <3 x"
+
+
+@pytest.mark.parametrize("part", ["<a ", "<", "</", "<!", "<a =' > ' ", "<script>x", "<script </script ", '<p title="x>', "<!--", "<p =\"> "])
+def test_html_takes_linear_work(part):
+    begun = time.perf_counter()
+    html_text.main_text("<p>start</p>" + part * (1_000_000 // len(part)))
+    assert time.perf_counter() - begun < 20
+
+
 def test_html_against_marked_articles():
     import html
     block = re.compile(r"</?(?:p|div|h1|article|br)[^>]*>")

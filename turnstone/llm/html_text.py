@@ -10,6 +10,16 @@ its nearest decided neighbour, text winning a tie. Blocks inside an article or
 main element look at neighbours inside it only, and are text if there is no
 decided one.
 
+Stop words are known for four languages. If they decide no block of a page to
+be text, its long blocks that are not mostly links are text by their length
+alone; scripts written without spaces count two code points as a word. A page
+that has no text even so keeps its undecided blocks, which then have nothing
+to inherit but the label of a menu.
+
+A quoted attribute value may hold ``>``. A quote that never closes, or that
+closes in the middle of a word, opens no value: the tag ends at the next
+``>``. The work is linear in the page's length.
+
 Classes and ids of html, body, main and article name no region, nor does what
 follows no-, has- or with- in a class. An element with the class or id of a
 region and a form are wrappers, not regions, if they hold the main element, all
@@ -42,9 +52,12 @@ LONG_WORDS = 12
 STOP_SHARE = 0.2
 LINK_SHARE = 0.5
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""", re.S)
+OPEN = re.compile(r"<!--|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)|<[!?/]")
+TAG_END = re.compile(r""">|=\s*+(["'])""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
+#: letters of scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han
+UNSPACED = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF]")
 
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
             "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section select summary table "
@@ -53,6 +66,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style template iframe svg head".split())
 REGION = set("nav footer aside button select menu dialog".split())
 INSIDE = set("article main".split())
+#: what may follow the closing quote of a value
+QUOTE_ENDS = ("", " ", "\t", "\n", "\r", "\f", "/", ">")
 #: an open element of these is closed by the next one of the group
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "option": {"option"}}
@@ -124,6 +139,43 @@ def _region(name: str, attributes: str, inside: bool) -> bool | _Wrap | None:
     return _Wrap(bool(strict), any(m[1] for m in strict))
 
 
+def _tags(page: str):
+    """Tags and comments in order: start, end, whether it closes, name in lower case (empty for none), attributes."""
+    last = page.rfind(">")  # what opens after it is no tag
+    at, quotes = 0, True
+    while m := OPEN.search(page, at):
+        at = m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+            yield m.start(), at, False, "", ""
+            continue
+        if at > last:
+            continue
+        end = page.find(">", at)
+        if m[2] and quotes:
+            seek = at
+            while t := TAG_END.search(page, seek):
+                if not t[1]:
+                    end = t.start()
+                    break
+                close = page.find(t[1], t.end())
+                if close < 0 or page[close + 1:close + 2] not in QUOTE_ENDS:
+                    end = page.find(">", t.end())
+                    break
+                seek = close + 1
+            else:  # the values run to the end of the page: from here on quotes are text like other
+                quotes = False
+        if end < 0:
+            continue
+        attributes = page[at:end] if m[2] else ""
+        at = end + 1
+        skip = yield m.start(), at, bool(m[1]), (m[2] or "").lower(), attributes
+        if skip is not None:
+            at = skip
+            yield
+
+
 def blocks(page: str) -> tuple[list[_Block], int]:
     """The page's blocks in order, and the number of its articles outside regions."""
     out: list[_Block] = []
@@ -145,32 +197,31 @@ def blocks(page: str) -> tuple[list[_Block], int]:
         if links:
             block.links += len(t)
 
-    while True:
-        m = TAG.search(page, at)
-        text(page[at:m.start()] if m else page[at:])
-        if not m:
-            return out, counted
-        at = m.end()
-        name = (m[2] or "").lower()
+    last = page.rfind(">") + 1
+    tags = _tags(page)
+    for begin, end, closing, name, attributes in tags:
+        text(page[at:begin])
+        at = end
         if not name:
             continue
         if name == "br":
             if block is not None:
                 block.parts.append(" ")
             continue
-        if name in RAW and not m[1]:
-            if m[3].endswith("/"):
+        if name in RAW and not closing:
+            if attributes.endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            if name == "head" and not end:
-                end = re.compile(r"(?=<body\b)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at, last)
+            if name == "head" and not stop:
+                stop = re.compile(r"(?=<body\b)", re.I).search(page, at)
+            at = stop.end() if stop else len(page)
+            tags.send(at)
             continue
         if name == "a":
-            links = 0 if m[1] else 1
+            links = 0 if closing else 1
         if name in BLOCK:
             block = None
-        if m[1]:
+        if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
                 before = stack[-1][1:3]
@@ -179,7 +230,7 @@ def blocks(page: str) -> tuple[list[_Block], int]:
                 del stack[depth:]
                 if before != (stack[-1][1:3] if stack else (False, ())):
                     block = None
-        elif name not in VOID and not m[3].endswith("/"):
+        elif name not in VOID and not attributes.endswith("/"):
             closes = SELF_CLOSING.get(name)
             if closes and stack and stack[-1][0] in closes:
                 stack.pop()
@@ -188,7 +239,7 @@ def blocks(page: str) -> tuple[list[_Block], int]:
             if name in INSIDE:
                 articles += 1
                 home = articles if not inside else home
-            found = None if region else _region(name, m[3], inside)
+            found = None if region else _region(name, attributes, inside)
             if name in INSIDE and not region and found is not True:
                 counted += not inside
                 for x in wraps:
@@ -199,6 +250,8 @@ def blocks(page: str) -> tuple[list[_Block], int]:
             if name in BLOCK or found is not None:
                 block = None
             stack.append((name, region, wraps, home))
+    text(page[at:])
+    return out, counted
 
 
 def _is_boilerplate(wrap: _Wrap, articles: int, long: int, long_home: int) -> bool:
@@ -216,7 +269,7 @@ def main_text(page: str | None) -> str:
         return ""
     found, articles = blocks(page)
     judged: list[tuple[_Block, str, bool | None]] = []
-    long = long_home = 0
+    unknown: list[int] = []  # long blocks without enough stop words
     for b in found:
         t = " ".join("".join(b.parts).split())
         if not t:
@@ -228,10 +281,18 @@ def main_text(page: str | None) -> str:
             words = [w.lower() for w in WORD.findall(t)]
             if len(words) >= LONG_WORDS and sum(w in STOP for w in words) >= STOP_SHARE * len(words):
                 label = True
-                long, long_home = long + 1, long_home + (b.home > 0)
-                for x in b.wraps:
-                    x.long, x.long_home = x.long + 1, x.long_home + (b.home > 0)
+            elif max(len(words), len(UNSPACED.findall(t)) // 2) >= LONG_WORDS:
+                unknown.append(len(judged))
         judged.append((b, t, label))
+    if not any(label for _, _, label in judged):
+        for i in unknown:
+            judged[i] = (*judged[i][:2], True)
+    long = long_home = 0
+    for b, _, label in judged:
+        if label:
+            long, long_home = long + 1, long_home + (b.home > 0)
+            for x in b.wraps:
+                x.long, x.long_home = x.long + 1, x.long_home + (b.home > 0)
     regions: dict[int, bool] = {}  # by identity; the blocks keep the wraps alive
     for b, _, _ in judged:
         for x in b.wraps:
@@ -239,6 +300,8 @@ def main_text(page: str | None) -> str:
                 regions[id(x)] = _is_boilerplate(x, articles, long, long_home)
     kept: list[tuple[str, bool | None, int]] = [  # text, label (None: undecided), article
         (t, False if any(regions[id(x)] for x in b.wraps) else label, b.home) for b, t, label in judged]
+    if not any(label for _, label, _ in kept):
+        return " ".join(t for t, label, _ in kept if label is None)
     n = len(kept)
     before, after = _nearest(kept, range(n)), _nearest(kept, range(n - 1, -1, -1))
     out = []
