@@ -5,7 +5,8 @@ Every step is a projection, so the whole pipeline compiles into one
 whole-stage-codegen span next to the scan. The only driver round trip is
 fitting the vocabulary, whose size is bounded by the categorical domains and
 checked before it is collected: the vocabulary *is* the output schema, so it
-has to be known when the plan is built.
+has to be known when the plan is built. Columns with more levels than a schema
+holds go through ``levels``, which keeps them in a table.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ YEARS_LOG = "TotalWorkingYears_log"
 INCOME_LONGEVITY = "Income_Longevity_Interaction"
 STAGNATION = "Stagnation_Index"
 
-MAX_LEVELS = 10_000  # refuse to one-hot a column with more levels than this
+MAX_LEVELS = 10_000  # columns of a wide catalogue; levels.fit_levels takes any number
 
 
 def keep_existing(df: DataFrame, names) -> DataFrame:
@@ -146,8 +147,8 @@ def fit_vocabulary(df: DataFrame, cat_cols: list[str] | None = None, drop_first:
     # One job; at most max_levels + 1 rows ever reach the driver.
     rows = category_levels(df, cat_cols).limit(max_levels + 1).collect()
     if len(rows) > max_levels:
-        raise ValueError(f"more than max_levels={max_levels} category levels; "
-                         "hash-encode such columns instead of one-hot")
+        raise ValueError(f"more than max_levels={max_levels} category levels for one column each; "
+                         "levels.fit_levels and levels.encode take any number")
     by_col: dict[str, list[str]] = {}
     for r in rows:
         by_col.setdefault(r.source_col, []).append(r.category)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from turnstone.operators import features as fe
+from turnstone.operators import levels as lv
 from turnstone.operators import split
 from turnstone.plans.registry import on_employees, register
-from turnstone.sources.tables import employees
+from turnstone.sources.tables import employees, table
 
 # Category domains of the driver tables, used only to spell out
 # the oracle SQL (the Spark side fits them from data).
@@ -109,6 +110,29 @@ def q_features_aligned(spark, sf):
     return _logs_rounded(aligned)
 
 
+@register("features_sparse", """
+WITH lv AS (
+  SELECT 1 AS c, CAST(o_custkey AS VARCHAR) AS v FROM orders UNION SELECT 2, o_orderstatus FROM orders UNION SELECT 3, o_orderpriority FROM orders),
+r AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) AS k FROM lv WHERE v IS NOT NULL),
+p AS (SELECT c, v, row_number() OVER (ORDER BY c, v) AS at FROM r WHERE k > 1)
+SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price,
+       concat_ws(',', CASE WHEN o_totalprice <> 0 THEN 0 END, p1.at, p2.at, p3.at) AS positions,
+       CAST(1 + (SELECT count(*) FROM p) AS INTEGER) AS n_positions
+FROM orders
+LEFT JOIN p p1 ON p1.c = 1 AND p1.v = CAST(o_custkey AS VARCHAR)
+LEFT JOIN p p2 ON p2.c = 2 AND p2.v = o_orderstatus
+LEFT JOIN p p3 ON p3.c = 3 AND p3.v = o_orderpriority""", ops=("P10", "P12", "M21"))
+def q_features_sparse(spark, sf):
+    """Customers, states and priorities as levels of a table; positions of the row's sparse vector."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderstatus", "o_orderpriority")
+    d = lv.fit_levels(orders, exclude=("o_orderkey",))
+    rows = lv.encode_arrays(orders, d, keep=("o_orderkey", "o_totalprice"))
+    return rows.select("o_orderkey", F.col("o_totalprice").alias("price"), F.array_join(F.col("indices").cast("array<string>"), ",").alias("positions"),
+                       F.lit(d.size).alias("n_positions"))
+
+
 @register("features_rounded_ratio", on_employees("""
 SELECT EmployeeNumber,
        floor(CASE WHEN NumCompaniesWorked > 0 THEN CAST(TotalWorkingYears AS DOUBLE) / NumCompaniesWorked
