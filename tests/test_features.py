@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnstone.operators import features as fe
+from turnstone.operators import levels as lv
+from turnstone.operators import model as md
+from turnstone.operators import profile as pr
 
 COLS = ["EmployeeNumber", "Attrition", "EmployeeCount", "Over18", "StandardHours", "Gender",
         "TotalWorkingYears", "NumCompaniesWorked", "MonthlyIncome", "Department", "YearsAtCompany",
@@ -147,3 +150,55 @@ def test_full_record_gives_49_features(spark, tmp_path):
     frame, vocab = feature_pipeline(df)
     assert len(vocab) == 49 and frame.count() == 36
     assert not {"EmployeeNumber", "Attrition", "EmployeeCount", "StandardHours", "Over18"} & set(vocab.features)
+
+
+def _entries(v, width):
+    return {i: x for i, x in enumerate(v.toArray()) if x != 0} | {"size": width}
+
+
+def test_levels_give_the_dense_catalogue(spark):
+    rows = [(i, i % 3 - 1, None if i % 5 == 0 else f"d{i % 4}", "é.`x" if i % 2 else "a b", i % 2 == 0) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "EmployeeNumber int, n int, `d.x` string, c string, b boolean")
+    vocab = fe.fit_vocabulary(df)
+    d = lv.fit_levels(df)
+    other = df.limit(5).unionByName(spark.createDataFrame([(99, 7, "unseen", None, None)], df.schema)).drop("n")
+    for frame in (df, other):
+        dense = {r["EmployeeNumber"]: r["features"] for r in md.assemble(fe.apply_vocabulary(frame, vocab), vocab).collect()}
+        got = {r["EmployeeNumber"]: r["features"] for r in lv.encode(frame, d).collect()}
+        assert d.size == len(vocab) and got.keys() == dense.keys()
+        for k in got:
+            assert got[k].size == len(vocab) and str(got[k].toArray()) == str(dense[k].toArray())
+    assert lv.encode(df.limit(0), d).collect() == []
+    assert lv.fit_levels(df.limit(0)).size == 2
+
+
+def test_levels_of_a_million_fit_and_score(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    n = 1_000_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), "id")).alias("code"),
+                               (F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    d = lv.fit_levels(df, exclude=("id", "label"))
+    assert d.size == 1 + (n - (n + 2) // 3)  # x, and every level but the first ("hot")
+    d.save(str(tmp_path / "levels"))
+    back = lv.LevelDictionary.load(spark, str(tmp_path / "levels"))
+    rows = lv.encode(df.where("id < 3000"), back, keep=("id", "label"))
+    model = LogisticRegression(maxIter=2, regParam=0.1).fit(rows)
+    assert model.numFeatures == d.size
+    assert model.transform(rows).where("prediction = label").count() == 3000
+
+
+def test_frame_equality_counts_and_moves_little(spark):
+    a = spark.range(2000).select((F.col("id") % 500).alias("k"), F.when(F.col("id") % 7 != 0, F.col("id") % 3).alias("v"),
+                                 F.array(F.when(F.col("id") % 2 == 0, 1), F.lit(2)).alias("l"))
+    assert pr.frame_equality(a, a.repartition(5)).first()[:] == (True, 2000, 2000, 0, 0)
+    assert pr.differing_buckets(a, a.repartition(5)).where("differs").isEmpty()
+    b = a.unionByName(a.where("k = 3").limit(2)).where("k <> 9")
+    got = pr.frame_equality(a, b).first()
+    want = (True, 2000, b.count(), a.exceptAll(b).count(), b.exceptAll(a).count())
+    assert got[:] == want and want[3] > 0 and want[4] > 0
+    x = spark.createDataFrame([(None, 1), (0.0, 2)], "p double, q int")
+    y = spark.createDataFrame([(1.0, None), (-0.0, 2)], "p double, q int")  # 0.0 and -0.0 are one value
+    assert pr.frame_equality(x, y).first()[:] == (True, 2, 2, 1, 1)
+    assert pr.frame_equality(x, x.select("q", "p")).first()[:] == (False, 2, 2, 0, 0)
+    assert pr.frame_equality(x, x.select("p", F.col("q").cast("bigint").alias("q"))).first()[:] == (False, 2, 2, 0, 0)
+    assert pr.frame_equality(x.limit(0), x.limit(0)).first()[:] == (True, 0, 0, 0, 0)

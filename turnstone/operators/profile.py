@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: hash buckets of a frame comparison
+BUCKETS = 4096
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count per value, most frequent first (nulls counted as their own value)."""
@@ -87,31 +90,67 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def frame_equality(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Same schema and same multiset of rows, computed in one job.
+def _row_hashes(df: DataFrame):
+    """Two 64-bit hashes of a row. Null flags are hashed too, as a null leaves a hash as it was; nested values enter as JSON."""
+    cols = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields]
+    parts = [F.to_json(F.struct(c)) if isinstance(f.dataType, (T.ArrayType, T.StructType)) else c for c, f in zip(cols, df.schema.fields)]
+    parts += [c.isNull() for c in cols]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
+
+
+def _bucket_sums(df: DataFrame, buckets: int, side: str) -> DataFrame:
+    h, g = _row_hashes(df)
+    rows = df.select(h.alias("h"), g.alias("g")).groupBy(F.pmod("h", F.lit(buckets)).alias("bucket"))
+    return rows.agg(F.count(F.lit(1)).alias(f"n_{side}"), F.sum(F.col("h").cast("decimal(20,0)")).alias(f"h_{side}"),
+                    F.sum(F.col("g").cast("decimal(20,0)")).alias(f"g_{side}"))
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n_a, n_b, differs): rows of both frames per hash bucket; at most ``buckets`` rows.
+
+    The sums do not depend on the order of rows and count repeats. Buckets of
+    different rows agree only if both 64-bit sums do by chance.
+    """
+    both = _bucket_sums(a, buckets, "a").join(_bucket_sums(b, buckets, "b"), "bucket", "full")
+    same = F.lit(True)
+    for x in ("n", "h", "g"):
+        same = same & F.col(f"{x}_a").eqNullSafe(F.col(f"{x}_b"))
+    return both.select("bucket", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"), (~same).alias("differs"))
+
+
+def frame_equality(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Same schema and same multiset of rows.
 
-    Rows are tagged by side, grouped on all columns and the per-row count
-    difference is summed, which is what ``exceptAll`` both ways would
-    report, but with a single shuffle.
+    Both sides are reduced to order-free sums per hash bucket, map-side first,
+    so equal frames move ``buckets`` rows per task and no more. Only the rows of
+    buckets that differ are grouped on all columns, tagged by side; the
+    difference of counts is what ``exceptAll`` both ways would report.
     """
     same_schema = [(f.name, f.dataType) for f in a.schema.fields] == \
                   [(f.name, f.dataType) for f in b.schema.fields]
     cols = a.columns
     if not same_schema:
         b = b.select(*[F.col(c) for c in cols]) if set(cols) == set(b.columns) else None
+        if b is not None:  # one type per column, so that equal values hash alike
+            common = a.limit(0).unionByName(b.limit(0)).schema
+            a, b = (x.select(*[F.col(f.name).cast(f.dataType) for f in common.fields]) for x in (a, b))
     if b is None:
         sp = a.sparkSession
         return sp.createDataFrame([(False, None, None, None, None)],
                                   "same_schema boolean, rows_a long, rows_b long, only_in_a long, only_in_b long")
-    tagged = a.withColumn("_s", F.lit(1)).unionByName(b.withColumn("_s", F.lit(-1)))
-    g = tagged.groupBy(*cols).agg(F.sum(F.when(F.col("_s") == 1, 1).otherwise(0)).alias("na"),
-                                  F.sum(F.when(F.col("_s") == -1, 1).otherwise(0)).alias("nb"))
-    return g.agg(F.sum("na").alias("rows_a"), F.sum("nb").alias("rows_b"),
-                 F.sum(F.greatest(F.col("na") - F.col("nb"), F.lit(0))).alias("only_in_a"),
-                 F.sum(F.greatest(F.col("nb") - F.col("na"), F.lit(0))).alias("only_in_b")
-                 ).select(F.lit(same_schema).alias("same_schema"),
-                          *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                            for c in ("rows_a", "rows_b", "only_in_a", "only_in_b")])
+    sums = differing_buckets(a, b, buckets)
+    different = sums.where("differs").select(F.col("bucket").alias("_b"))
+
+    def rest(df: DataFrame, side: int) -> DataFrame:
+        tagged = df.withColumn("_b", F.pmod(_row_hashes(df)[0], F.lit(buckets))).withColumn("_s", F.lit(side))
+        return tagged.join(different, "_b", "left_semi").drop("_b")
+
+    net = rest(a, 1).unionByName(rest(b, -1)).groupBy(*cols).agg(F.sum("_s").alias("net"))
+    only = net.agg(F.sum(F.greatest("net", F.lit(0))).alias("only_in_a"), F.sum(F.greatest(-F.col("net"), F.lit(0))).alias("only_in_b"))
+    totals = sums.agg(F.sum("n_a").alias("rows_a"), F.sum("n_b").alias("rows_b"))
+    counts = totals.select("*", only.select("only_in_a").scalar().alias("only_in_a"), only.select("only_in_b").scalar().alias("only_in_b"))
+    return counts.select(F.lit(same_schema).alias("same_schema"),
+                         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("rows_a", "rows_b", "only_in_a", "only_in_b")])
 
 
 def describe_equality(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
