@@ -329,3 +329,52 @@ def test_null_confounders_leave_the_row_out(spark):
     assert got["n_treated"] + got["n_control"] == 590
     rep = {r["confounder"]: (r["kept"], r["null_rows"]) for r in ca.confounder_report(df, ["x", "absent"]).collect()}
     assert rep == {"x": (True, 10), "absent": (False, None)}
+
+
+def _newton(x, y, steps=60):
+    z = np.column_stack([np.ones(len(x)), x])
+    b = np.zeros(z.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-z @ b))
+        b = b + np.linalg.lstsq(z.T @ (z * (p * (1 - p))[:, None]), z.T @ (y - p), rcond=None)[0]
+    return b
+
+
+def test_grouped_logit_equals_newton_fits(spark):
+    from turnstone.operators.logit import fit_groups, with_probability
+    r = np.random.default_rng(3)
+    rows, want = [], {}
+    for g in range(4):
+        n = 150 + 50 * g
+        x = r.normal(size=(n, 2)) * [1.0, 5_000.0] + [0.0, 80_000.0]
+        y = (r.random(n) < 1 / (1 + np.exp(-(0.4 * g - 0.5 + x[:, 0] * (g - 1) + (x[:, 1] - 80_000) / 9_000)))).astype(int)
+        want[g] = _newton(np.column_stack([x[:, 0], (x[:, 1] - 80_000) / 5_000]), y)
+        rows += [(g, float(a), float(b), int(c), 3.5) for (a, b), c in zip(x, y)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, y int, same double").repartition(5)
+    got = fit_groups(df, "y", ["a", "b", "same"], "g")
+    for g in range(4):
+        c0, ca_, cb, cs = got[g]
+        assert cs == 0 and np.allclose([c0 + 80_000 * cb, ca_, cb * 5_000], want[g], atol=1e-6)
+    scored = with_probability(df, got, ["a", "b", "same"], "g", "p")
+    for row in scored.groupBy("g").agg(F.sum("y").alias("y"), F.sum("p").alias("p")).collect():
+        assert abs(row["y"] - row["p"]) < 1e-6  # the equation of the intercept
+
+
+def test_grouped_logit_of_one_class_and_of_separated_rows(spark):
+    from turnstone.operators.logit import fit_groups, with_probability
+    df = spark.createDataFrame([(0, float(i), 1) for i in range(20)] + [(1, float(i), int(i > 9)) for i in range(20)], "g int, a double, y int")
+    scored = with_probability(df, fit_groups(df, "y", ["a"], "g"), ["a"], "g", "p").collect()
+    assert all(abs(r["p"] - r["y"]) < 0.01 for r in scored)
+    assert fit_groups(df.limit(0), "y", ["a"], "g") == {}
+
+
+def test_random_cause_repeats_and_averages(spark):
+    df = _causal(spark, 400)
+    got = ca.refute_random_common_cause(df, "t", "y", ["x"], "id", simulations=12).first()
+    plain = ca.psm_effect(df, "t", "y", ["x"], "id").first()["ate"]
+    assert abs(got["estimated_effect"] - plain) < 1e-12 and abs(got["new_effect"] - plain) < 0.15 and 0 <= got["p_value"] <= 1
+    # each simulation is the plain match with its own random confounder
+    u = F.shiftrightunsigned(F.xxhash64("id", F.col("simulation"), F.lit(7)), 11) / F.lit(float(1 << 53))
+    one = [ca.psm_effect(df.withColumn("simulation", F.lit(j)).withColumn("u", u), "t", "y", ["x", "u"], "id").first()["ate"] for j in (1, 2)]
+    two = ca.refute_random_common_cause(df, "t", "y", ["x"], "id", simulations=2).first()
+    assert abs(two["new_effect"] - sum(one) / 2) < 1e-9
