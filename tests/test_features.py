@@ -202,3 +202,13 @@ def test_frame_equality_counts_and_moves_little(spark):
     assert pr.frame_equality(x, x.select("q", "p")).first()[:] == (False, 2, 2, 0, 0)
     assert pr.frame_equality(x, x.select("p", F.col("q").cast("bigint").alias("q"))).first()[:] == (False, 2, 2, 0, 0)
     assert pr.frame_equality(x.limit(0), x.limit(0)).first()[:] == (True, 0, 0, 0, 0)
+
+
+def test_leakage_check_asks_the_fitted_model(spark):
+    rows = [(i, "Yes" if i % 3 else "No", float(i), "ab"[i % 2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "EmployeeNumber int, Attrition string, x double, c string")
+    frame, vocab = fe.feature_pipeline(df)
+    model = md.baseline_logistic(md.assemble(frame, vocab).select("features", "label"), max_iter=2)
+    assert pr.leakage_check(vocab.to_df(spark), n_model_features=model.numFeatures).first()[:] == (2, 0, True)
+    leaky = fe.fit_vocabulary(df.withColumn("Attrition", F.lit(1)), exclude=())
+    assert pr.leakage_check(leaky.to_df(spark), n_model_features=model.numFeatures).first()[:] == (4, 2, False)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnstone.functions.exprs import round_half_up
 from turnstone.operators import features as fe
+from turnstone.operators import model as md
 from turnstone.operators import profile as pr
 from turnstone.operators.advice import ui_flags
 from turnstone.operators.scoring import decision, risk_band, risk_group
@@ -118,10 +119,10 @@ SELECT CAST(15 + count(DISTINCT OverTime) - 1 + count(DISTINCT Department) - 1 +
        CAST(0 AS BIGINT) AS n_forbidden, true AS matches_model
 FROM employees"""), ops=("U5",))
 def q_leakage(spark, sf):
-    emp = employees(spark, sf)
-    vocab = fe.fit_vocabulary(fe.engineer(emp, label="Attrition"), exclude=("EmployeeNumber", "label"))
-    aligned = fe.apply_vocabulary(fe.engineer(emp), vocab)
-    return pr.leakage_check(vocab.to_df(spark), n_model_features=len(aligned.columns) - 1)
+    """The catalogue against the features that a model fitted on it takes."""
+    frame, vocab = fe.feature_pipeline(employees(spark, sf))
+    model = md.baseline_logistic(md.assemble(frame, vocab).select("features", "label"), max_iter=5)
+    return pr.leakage_check(vocab.to_df(spark), n_model_features=model.numFeatures)
 
 
 @register("ui_projection", on_employees("""
