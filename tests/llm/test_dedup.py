@@ -254,3 +254,37 @@ def test_a_repeated_doc_id_with_another_text_loses_nothing(spark):
     wide = frame(spark, lines).withColumnRenamed("rep", "removed")
     got = {(r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(wide).collect()}
     assert got == {lines[0], lines[1], (2, "beta line that is long enough")}
+
+
+def test_phrase_automaton_has_few_edges_at_each_node():
+    from collections import Counter
+    a = phrase_dedup.Automaton()
+    w = [f"w{i}" for i in range(10_000)]
+    for i in range(0, 9_992, 2):
+        a.add(" ".join(w[i:i + 8]).encode(), i, i % 4 == 0)
+    a.compile()
+    _, edges, _ = a.machine.dump()
+    assert max(Counter(x[0] for x in edges).values()) <= phrase_dedup.BASE
+    found = a.places(" ".join(["other"] + w[4_000:4_011] + ["w7", "other"] + w[:8] + w[9_990:]).encode().split())
+    assert found == {1: (4_000, True), 3: (4_002, False), 14: (0, True), 22: (9_990, False)}
+
+
+def test_phrase_windows_leave_a_shard_once():
+    import pyarrow as pa
+    text = " ".join(words(60, 78, 5_000))
+    w = text.split()
+    p = phrase_dedup.Phrases(next(iter(phrase_dedup.slices(pa.array([text])))), 50, 8)
+    phrases = [" ".join(w[i:i + 8]) for i in p.place.tolist()]
+    fill = "x " * 600_000  # each text is a slice of its own
+
+    def batch(shard, kind, texts, ids):
+        n = len(texts)
+        return pa.RecordBatch.from_arrays([pa.array([shard] * n), pa.array([kind] * n, pa.int32()), pa.array(texts, pa.string()),
+                                           pa.array(ids, pa.int64()), pa.array([True] * n)],
+                                          names=["shard", "kind", "text", "id", "several"])
+    stream = [b for shard in (3, 4) for b in (batch(shard, 0, phrases, [1] * len(phrases)), batch(shard, 1, [text + " " + fill] * 3, [9, 7, 8]))]
+    out = [r for b in phrase_dedup._locate(50, 8, pa.int64())(stream) for r in b.to_pylist()]
+    rows = [(r["shard"], r["key"], r["content"]) for r in out if r["kind"] == 2]
+    assert len(rows) == len(set(rows)) and {r[0] for r in rows} == {3, 4}
+    assert {(r["low"], r["high"]) for r in out if r["kind"] == 2} == {(7, 9)}
+    assert sorted(r["doc_id"] for r in out if r["kind"] == 1) == [7, 7, 8, 8, 9, 9]

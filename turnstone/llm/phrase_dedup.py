@@ -10,8 +10,8 @@ and a document has about ``2 / (window - k + 2)`` phrases per word.
    the passage is confirmed by that, and the smallest doc_id owns it.
 2. Documents are dealt to shards of bounded size. A shard's recurring phrases
    come first in its stream of rows and are compiled into one Aho-Corasick
-   automaton over words (pyahocorasick, word numbers as letters, so a match is
-   exact); its documents follow batch by batch and run through it. The places of
+   automaton over words (pyahocorasick, the digits of word numbers as letters,
+   so a match is exact); its documents follow batch by batch and run through it. The places of
    phrases, and so the windows, are taken from the matches. Windows of confirmed
    passages are decided there; the others leave as hashes with their shard, and
    their documents stay open.
@@ -49,6 +49,10 @@ from turnstone.llm.shared import shuffle_parts, stage
 WINDOW = 50
 K = 8
 SHARD_BYTES = 4 << 20
+#: rows of one batch of windows
+OUT_ROWS = 1 << 16
+#: edges that a node of the automaton has at most
+BASE = 64
 
 
 class Phrases:
@@ -131,31 +135,42 @@ def _collect_phrases(docs: DataFrame, window: int, k: int) -> DataFrame:
 
 
 class Automaton:
-    """The recurring phrases of a shard, compiled; words are numbered, 0 is any word that no phrase has."""
+    """The recurring phrases of a shard, compiled.
+
+    A node's edges are searched one after another, and with words as letters the root has an edge for each first word
+    of a phrase. So a word is written as the digits of its number, with other letters for each digit, and no node has
+    more than ``BASE`` edges however many phrases there are. NUL is any word that no phrase has.
+    """
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
         self.known: dict[bytes, tuple] = {}
+        self.code: dict[bytes, str] = {}
         self.machine = None
 
     def add(self, phrase: bytes, owner, several: bool) -> None:
         self.known[phrase] = (owner, several)
 
     def compile(self) -> None:
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, value in self.known.items():
-            word = tuple(self.number.setdefault(w, len(self.number) + 1) for w in phrase.split(b" "))
-            self.machine.add_word(word, (len(word), *value))
+        phrases = [(phrase.split(b" "), value) for phrase, value in self.known.items()]
+        number = dict.fromkeys(w for words, _ in phrases for w in words)
+        self.digits = 1
+        while BASE ** self.digits < len(number):
+            self.digits += 1
+        self.code = {w: "".join(chr(1 + BASE * j + i // BASE ** j % BASE) for j in range(self.digits))
+                     for i, w in enumerate(number)}
+        self.machine = ahocorasick.Automaton()
+        for words, value in phrases:
+            self.machine.add_word("".join(map(self.code.__getitem__, words)), (len(words), *value))
         self.known.clear()
-        if self.number:
+        if self.code:
             self.machine.make_automaton()
 
     def places(self, words: list[bytes]) -> dict[int, tuple]:
         """Where phrases begin in a document's words, with their owner and whether they have several contexts."""
-        if not self.number:
+        if not self.code:
             return {}
-        ids = tuple(map(self.number.get, words, repeat(0)))
-        return {end + 1 - n: (owner, several) for end, (n, owner, several) in self.machine.iter(ids)}
+        text = "".join(map(self.code.get, words, repeat("\0" * self.digits)))
+        return {(end + 1) // self.digits - n: (owner, several) for end, (n, owner, several) in self.machine.iter(text)}
 
 
 def _groups(batch: pa.RecordBatch):
@@ -170,21 +185,34 @@ def _groups(batch: pa.RecordBatch):
 def _locate(window: int, k: int, id_type):
     """Stream of shards: phrases (kind 0), then documents (kind 1)."""
 
-    def out(done, open_, win, shard):
-        nd, no, nw = len(done), len(open_), len(win[0])
-        return pa.RecordBatch.from_arrays([
-            pa.array([0] * nd + [1] * no + [2] * nw, pa.int32()), pa.array([shard] * (nd + no + nw), pa.int64()),
-            pa.array([x[0] for x in done] + [x[0] for x in open_] + [None] * nw, id_type),
-            pa.array([x[1] for x in done] + [None] * (no + nw), pa.int64()),
-            pa.array([x[2] for x in done] + [None] * (no + nw), pa.int64()),
-            pa.array([x[3] for x in done] + [None] * (no + nw), pa.string()),
-            pa.array([None] * nd + [x[1] for x in open_] + [None] * nw, pa.string()),
-            pa.array([None] * nd + [x[2] for x in open_] + [None] * nw, pa.list_(pa.int64())),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(as_long(win[0]))]),
-            pa.concat_arrays([pa.nulls(nd + no, pa.int64()), pa.array(as_long(win[1]))]),
-            pa.array([None] * (nd + no) + win[2], id_type), pa.array([None] * (nd + no) + win[3], id_type)],
-            names=["kind", "shard", "doc_id", "n_words", "n_removed", "kept_sha256", "text", "gone", "key", "content",
-                   "low", "high"])
+    names = ["kind", "shard", "doc_id", "n_words", "n_removed", "kept_sha256", "text", "gone", "key", "content", "low",
+             "high"]
+    types = [pa.int32(), pa.int64(), id_type, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()),
+             pa.int64(), pa.int64(), id_type, id_type]
+
+    def out(kind, shard, **columns):
+        n = len(next(iter(columns.values())))
+        columns |= {"kind": np.full(n, kind, np.int32), "shard": np.full(n, shard, np.int64)}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types)], names=names)
+
+    def windows(shard, found):
+        """The different windows of a shard's open places, with the smallest and largest of their documents."""
+        order = sorted({x for _, _, _, ids in found for x in ids})
+        rank = {x: i for i, x in enumerate(order)}
+        key, content = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        doc = np.concatenate([np.array([rank[x] for x in ids], np.int64)[at] for _, _, at, ids in found])
+        o = np.lexsort((doc, content, key))
+        key, content, doc = key[o], content[o], doc[o]
+        new = np.ones(len(o), bool)
+        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(o)) - 1
+        ids = pa.array(order, id_type)
+        for i in range(0, len(a), OUT_ROWS):
+            x, y = a[i:i + OUT_ROWS], b[i:i + OUT_ROWS]
+            yield out(2, shard, key=as_long(key[x]), content=as_long(content[x]), low=ids.take(pa.array(doc[x])),
+                      high=ids.take(pa.array(doc[y])))
 
     def slice_(s, ids, machine):
         done, open_ = [], []
@@ -212,30 +240,24 @@ def _locate(window: int, k: int, id_type):
             starts = phrases.windows(np.array(sure, np.int64))[1] - base
             if open_rows:
                 rows_ += open_rows
-                mine_.append(ids[d])
+                mine_.append(d)
                 open_.append((ids[d], s.text(d).decode("utf-8", "surrogatepass"), starts.tolist()))
             else:
                 done.append((ids[d], *outcome(words, starts, window)))
         if not rows_:
-            return done, open_, (np.empty(0, U64), np.empty(0, U64), [], [])
-        order = sorted(set(mine_))
-        rank = {x: i for i, x in enumerate(order)}
+            return done, open_, None
         row, _, key, content = phrases.windows(np.array(rows_, np.int64))
-        of_doc = np.array([rank.get(x, -1) for x in ids], np.int64)[phrases.doc[row]]
-        o = np.lexsort((of_doc, content, key))
-        key, content, of_doc = key[o], content[o], of_doc[o]
-        new = np.ones(len(o), bool)
-        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-        a = np.flatnonzero(new)
-        b = np.append(a[1:], len(o)) - 1
-        return done, open_, (key[a], content[a], [order[i] for i in of_doc[a]], [order[i] for i in of_doc[b]])
+        at = np.searchsorted(mine_, phrases.doc[row])
+        return done, open_, (key, content, at, [ids[d] for d in mine_])
 
     def run(batches):
-        machine, now = None, None
+        machine, now, found = None, None, []
         for batch in batches:
             for shard, kind, rows in _groups(batch):
                 if shard != now:
-                    machine, now = Automaton(), shard
+                    if found:
+                        yield from windows(now, found)
+                    machine, now, found = Automaton(), shard, []
                 if kind == 0:
                     for phrase, owner, several in zip(rows.column(2).cast(pa.binary()).to_pylist(),
                                                       rows.column(3).to_pylist(), rows.column(4).to_pylist()):
@@ -245,7 +267,15 @@ def _locate(window: int, k: int, id_type):
                     machine.compile()
                 ids = rows.column(3).to_pylist()
                 for s in slices(rows.column(2)):
-                    yield out(*slice_(s, ids[s.first:s.first + s.n], machine), shard)
+                    done, open_, win = slice_(s, ids[s.first:s.first + s.n], machine)
+                    if done:
+                        yield out(0, shard, **dict(zip(names[2:6], zip(*done))))
+                    if open_:
+                        yield out(1, shard, **dict(zip(("doc_id", "text", "gone"), zip(*open_))))
+                    if win:
+                        found.append(win)
+        if found:
+            yield from windows(now, found)
 
     return run
 
@@ -319,7 +349,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame
         F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_doc"),
         (F.min("context") != F.max("context")).alias("several"))
         .where("owner < last_doc").select("phrase", "owner", "several"), "recurring")
-    phrases = seen.select("phrase", "shard").join(recurring, "phrase").select(
+    # a passage with one context is lost only by later documents
+    phrases = seen.select("phrase", "shard", "doc_id").join(recurring, "phrase").where("several OR owner < doc_id").select(
         "shard", F.lit(0).alias("kind"), F.col("phrase").alias("text"), F.col("owner").alias("id"), "several")
     texts = sharded.select("shard", F.lit(1).alias("kind"), "text", F.col("doc_id").alias("id"),
                            F.lit(False).alias("several"))
