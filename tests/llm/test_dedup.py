@@ -288,3 +288,52 @@ def test_phrase_windows_leave_a_shard_once():
     assert len(rows) == len(set(rows)) and {r[0] for r in rows} == {3, 4}
     assert {(r["low"], r["high"]) for r in out if r["kind"] == 2} == {(7, 9)}
     assert sorted(r["doc_id"] for r in out if r["kind"] == 1) == [7, 7, 8, 8, 9, 9]
+
+
+def test_shared_line_keys_stream_by():
+    import numpy as np
+    import pyarrow as pa
+    r = random.Random(11)
+    rows = sorted([(r.randrange(400), r.randrange(5)) for _ in range(900)] + [(7, i) for i in range(50)] + [(9, 1)] * 40)
+    ids = {}
+    for k, i in rows:
+        ids.setdefault(k, set()).add(i)
+    want = sorted({(k, i) for k, i in rows if len(ids[k]) > 1})
+
+    class Bands:  # stands for sorted rows in one partition
+        def repartition(self, *_):
+            return self
+
+        def sortWithinPartitions(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            for size in (1, 3, 64, 10_000):
+                made = run(pa.RecordBatch.from_arrays([pa.array(np.array([x[j] for x in rows[a:a + size]], np.int64)) for j in (0, 1)],
+                                                      ["key", "id"]) for a in range(0, len(rows), size))
+                assert [(x["key"], x["id"]) for b in made for x in b.to_pylist()] == want
+            assert list(run(iter([]))) == []
+
+    line_dedup._shared(Bands())
+
+
+def test_line_shingles_are_the_hashes_of_their_characters():
+    import pyarrow as pa
+    from turnstone.llm.arrays import slices
+    texts = ["", "abcdefgh", "short", "ABCDEFGHIJ", "", "xéyézéwéqé日", "é", "abcdefghij", "日本語", ""]
+    for column in (pa.array(texts), pa.array(texts[:5]), pa.array(["abcdefg"]), pa.array([""])):
+        s = next(slices(column))
+        h, row = line_dedup._shingles(s, 8)
+        got = [(int(x), int(y)) for x, y in zip(h, row)]
+        want = []
+        for i, t in enumerate(column.to_pylist()):
+            for run in ([t[j:j + 8] for j in range(len(t) - 7)] or [t][:len(t)]):
+                one = next(slices(pa.array([run])))
+                want.append((int(line_dedup._shingles(one, len(run))[0][0]), i))
+        assert got == want
+
+
+def test_line_texts_do_not_travel_for_bands(spark):
+    plan = line_dedup._shared(line_dedup._bands(frame(spark, [(1, "a line of words")]).select("doc_id", "text"), 8))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 2 and "Aggregate" not in plan

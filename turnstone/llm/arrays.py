@@ -73,7 +73,12 @@ def prefix_sums(values: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
 def run_hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each run [start, end): equal content and length give equal hashes wherever the run stands."""
     s, inv = sums
-    return mix((s[end] - s[start]) * inv[start] + (end - start).astype(U64) * U64(0xA24BAED4963EE407))
+    return run_mix((s[end] - s[start]) * inv[start], end - start)
+
+
+def run_mix(difference: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``run_hash`` from the differences of prefix sums, shifted to the runs' starts, and the runs' lengths."""
+    return mix(difference + length.astype(U64) * U64(0xA24BAED4963EE407))
 
 
 class Slice:

@@ -13,9 +13,11 @@ sets and joined by a distributed union-find (``neardup``, ``graph``). Of all
 lines of a component, equal and similar, the first stays: smallest doc_id, then
 smallest line number.
 
-Equal lines are one id (XXH3, 64 bits over the raw bytes) and are reduced to one
-row, map-side first, before any signature is made, so a line that a third of
-all documents hold is signed and compared once.
+Equal lines are one id (XXH3, 64 bits over the raw bytes). A slice of a few
+documents signs each of its lines once, and equal ids become one before buckets
+are made, so a line that a third of all documents hold is signed once a slice
+and compared once. Line texts travel only to be compared: bands are made where
+the documents are read.
 
 Defined cases: lines are what stands between line feeds; blank lines are
 neither removed nor counted as copies; a line shorter than ``k`` has itself as
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.llm.arrays import (LOWER, NOT_SPACE, P_BYTE, U64, Slice, as_long, byte_values, mix, prefix_sums,
-                                  run_hash, slices, text_array)
+                                  run_mix, slices, text_array)
 from turnstone.llm.neardup import different_buckets, near_components
 from turnstone.llm.shared import row_name, stage, text_md5
 
@@ -46,6 +48,9 @@ BINS = BANDS * ROWS
 STARS = (1, 4, 8)
 #: buckets up to this size list their pairs, under the exact size and parity bounds
 FEW = 32
+#: bytes of the slices that shingles are made of, so that the arrays of 8 bytes a character stay in the processor's cache
+CACHED = 1 << 16
+FOLDED = byte_values(4)[LOWER]
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -61,23 +66,39 @@ class Lines:
         self.start, self.end = start, end
         self.doc = np.repeat(np.arange(s.n), per)
         self.number = np.arange(len(start)) - np.repeat(np.cumsum(per) - per, per)
-        full = np.concatenate([[0], np.cumsum(NOT_SPACE[s.data])])
-        self.blank = full[end] == full[start]
+        self.blank = np.ones(len(start), bool)
+        some = np.flatnonzero(end > start)
+        # a line's stretch runs to the next line and adds line feeds at most, which are white space
+        self.blank[some] = ~np.logical_or.reduceat(NOT_SPACE[s.data], start[some]) if len(some) else True
         raw = memoryview(np.ascontiguousarray(s.data))
         self.hash = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())),
                                 U64, len(start))
 
 
-def _shingles(data: np.ndarray, start: np.ndarray, end: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all k-character runs of the byte ranges, and the range each belongs to (in order)."""
-    chars = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
-    edge = np.append(chars, len(data))
-    a, b = np.searchsorted(chars, start), np.searchsorted(chars, end)
-    n = np.maximum(b - a - k + 1, np.where(b > a, 1, 0))
-    row = np.repeat(np.arange(len(start)), n)
-    first = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    last = np.minimum(first + k, b[row])
-    return run_hash(prefix_sums(byte_values(4)[LOWER][data], P_BYTE), edge[first], np.minimum(edge[last], end[row])), row
+def _shingles(s: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all k-character runs of the texts of a slice, and the text each belongs to (in order)."""
+    sums, inv = prefix_sums(FOLDED[s.data], P_BYTE)
+    first = (s.data & 0xC0) != 0x80  # first bytes of characters
+    if first.all():
+        edge = np.arange(len(s.data) + 1)
+        begin, end, inv = s.offsets[:-1], s.offsets[1:], inv[:-1]
+    else:
+        at = np.flatnonzero(first)
+        edge = np.append(at, len(s.data))
+        begin, end = np.searchsorted(at, s.offsets[:-1]), np.searchsorted(at, s.offsets[1:])
+        sums, inv = sums[edge], inv[at]
+    n = end - begin
+    h, size, keep = np.zeros(len(inv), U64), np.zeros(len(inv), np.int64), np.ones(len(inv), bool)
+    m = max(len(inv) - k + 1, 0)
+    h[:m] = (sums[k:] - sums[:m]) * inv[:m]
+    size[:m] = edge[k:] - edge[:m]
+    for j in range(1, k):  # of a text's last k - 1 characters only a first one can begin a run
+        keep[end[n > j] - j] = False
+    short = np.flatnonzero((n > 0) & (n < k))
+    a, b = begin[short], end[short]
+    h[a] = (sums[b] - sums[a]) * inv[a]
+    size[a] = edge[b] - edge[a]
+    return run_mix(h[keep], size[keep]), np.repeat(np.arange(s.n), np.maximum(n - k + 1, n > 0))
 
 
 def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
@@ -93,7 +114,7 @@ def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     turn = 0
     while len(r):
         turn += 1
-        other = (mix(c.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(turn)) % U64(BINS)).astype(np.int64)
+        other = (mix(np.arange(BINS, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(turn)) % U64(BINS)).astype(np.int64)[c]
         ok = own[r, other]
         out[r[ok], c[ok]] = out[r[ok], other[ok]]
         r, c = r[~ok], c[~ok]
@@ -101,22 +122,23 @@ def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    keys = np.empty((len(sig), BANDS), U64)
-    for j in range(BANDS):
-        acc = np.full(len(sig), j + 1, U64)
-        for c in range(j * ROWS, (j + 1) * ROWS):
-            acc = mix(acc * U64(0xD6E8FEB86659FD93) + sig[:, c])
-        keys[:, j] = acc
+    parts = sig.reshape(len(sig), BANDS, ROWS)
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=U64)[None], len(sig), axis=0)
+    for c in range(ROWS):
+        keys = mix(keys * U64(0xD6E8FEB86659FD93) + parts[:, :, c])
     return keys
 
 
 def line_sets(column, k: int):
     """The sorted distinct shingle hashes of each text of an Arrow column, each taken as one line."""
-    for s in slices(column):
-        h, row = _shingles(s.data, s.offsets[:-1], s.offsets[1:], k)
+    for s in slices(column, CACHED):
+        h, row = _shingles(s, k)
         cut = np.searchsorted(row, np.arange(s.n + 1))
         for i in range(s.n):
-            yield np.unique(h[cut[i]:cut[i + 1]])
+            x = np.sort(h[cut[i]:cut[i + 1]])
+            new = np.ones(len(x), bool)
+            np.not_equal(x[1:], x[:-1], out=new[1:])
+            yield x[new]
 
 
 def _distinct_lines(s: Slice, lines: Lines) -> np.ndarray:
@@ -146,31 +168,57 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n_lines bigint, numbers array<bigint>, hashes array<bigint>")
 
 
-def _bands(lines: DataFrame, k: int) -> DataFrame:
-    """(key, id) of the distinct lines (id, text)."""
+def _line_batches(batches):
+    """(id, text) of the different lines of each slice."""
+    for batch in batches:
+        for s in slices(text_array(batch)):
+            x = Lines(s)
+            at = _distinct_lines(s, x)
+            text = [s.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(x.start[at], x.end[at])]
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(x.hash[at])), pa.array(text, pa.string())], ["id", "text"])
+
+
+def _bands(docs: DataFrame, k: int) -> DataFrame:
+    """(key, id) of the lines; a line that stands in several slices stands several times."""
 
     def run(batches):
-        for batch in batches:
-            for s in slices(text_array(batch)):
-                h, row = _shingles(s.data, s.offsets[:-1], s.offsets[1:], k)
+        for batch in _line_batches(batches):
+            for s in slices(batch.column(1), CACHED):
+                h, row = _shingles(s, k)
                 keys = band_keys(signatures(h, row, s.n))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(as_long(keys.ravel())), batch.column(0).slice(s.first, s.n).take(pa.array(np.repeat(np.arange(s.n), BANDS)))],
                     ["key", "id"])
 
-    return lines.select("id", "text").mapInArrow(run, "key bigint, id bigint")
+    return docs.mapInArrow(run, "key bigint, id bigint")
 
 
-def _line_texts(docs: DataFrame) -> DataFrame:
+def _shared(bands: DataFrame) -> DataFrame:
+    """The distinct rows (key, id) whose key has several ids; sorted rows stream by, so one shuffle does and no key is held."""
+
     def run(batches):
+        key = name = np.empty(0, np.int64)  # the last row, and whether the one before it has its key
+        before = False
         for batch in batches:
-            for s in slices(text_array(batch)):
-                x = Lines(s)
-                at = _distinct_lines(s, x)
-                text = [s.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(x.start[at], x.end[at])]
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(x.hash[at])), pa.array(text, pa.string())], ["id", "text"])
+            key, name = (np.concatenate([held, batch.column(i).to_numpy()]) for i, held in enumerate((key, name)))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+            key, name = key[new], name[new]
+            if not len(key):
+                continue
+            same = key[1:] == key[:-1]
+            left = np.concatenate([[before], same])
+            several = left[:-1] | same
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][several]), pa.array(name[:-1][several])], ["key", "id"])
+            key, name, before = key[-1:], name[-1:], left[-1]
+        if before:
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(name)], ["key", "id"])
+
+    return bands.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "key bigint, id bigint")
 
-    return docs.mapInArrow(run, "id bigint, text string")
+
+def _line_texts(docs: DataFrame) -> DataFrame:
+    return docs.mapInArrow(_line_batches, "id bigint, text string")
 
 
 def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -178,13 +226,10 @@ def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
     narrow = docs.select(docs["doc_id"], docs["text"])
     named = narrow.where("doc_id IS NOT NULL")
     occ = stage(_occurrences(narrow), "lines")
-    lines = stage(_line_texts(named).groupBy("id").agg(F.first("text").alias("text")), "distinct-lines")
-    bands = stage(_bands(lines, k), "bands")  # lines are distinct, so a key that stands twice has two of them
-    several = stage(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    members = different_buckets(bands.join(several, "key", "left_semi"))
+    members = different_buckets(_shared(_bands(named, k)))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        return lines.join(ids, "id", "left_semi")
+        return _line_texts(named).join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
     comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den, stars=STARS, few=FEW), "components")
     rows = occ.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("numbers", "hashes")).alias("x")).select(
