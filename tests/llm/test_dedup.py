@@ -337,3 +337,31 @@ def test_line_texts_do_not_travel_for_bands(spark):
     plan = line_dedup._shared(line_dedup._bands(frame(spark, [(1, "a line of words")]).select("doc_id", "text"), 8))
     plan = plan._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 2 and "Aggregate" not in plan
+
+
+def test_line_of_several_slices_leaves_its_task_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    texts = ["same line here\nother line here", "third line here\nsame line here"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], ["doc_id", "text"])
+
+    def left(wanted=None):
+        return [x for b in line_dedup._line_batches([batch, batch], wanted) for x in b.to_pylist()]
+
+    found = {x["text"]: x["id"] for x in left()}
+    assert sorted(x["text"] for x in left()) == ["other line here", "same line here", "third line here"]
+    bits = np.zeros(line_dedup.WANTED // 8, np.uint8)
+    assert left(bits) == []
+    at = found["other line here"] & (line_dedup.WANTED - 1)
+    bits[at >> 3] |= 1 << (at & 7)
+    assert [x["text"] for x in left(bits)] == ["other line here"]
+    monkeypatch.setattr(line_dedup, "SEEN", 0)  # remembers only one slice: lines leave again, none is lost
+    assert {x["text"] for x in left()} == set(found)
+
+
+def test_id_bits_are_those_of_the_ids(spark):
+    import numpy as np
+    ids = [-1, 0, 1, 7, 32767, 32768, 2 ** 63 - 1, -2 ** 63, 123456789012345]
+    bits = line_dedup._id_bits(spark.createDataFrame([(i,) for i in ids], "id bigint"))
+    want = sorted({i & (line_dedup.WANTED - 1) for i in ids})
+    assert np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == want

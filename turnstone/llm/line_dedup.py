@@ -13,11 +13,12 @@ sets and joined by a distributed union-find (``neardup``, ``graph``). Of all
 lines of a component, equal and similar, the first stays: smallest doc_id, then
 smallest line number.
 
-Equal lines are one id (XXH3, 64 bits over the raw bytes). A slice of a few
-documents signs each of its lines once, and equal ids become one before buckets
-are made, so a line that a third of all documents hold is signed once a slice
-and compared once. Line texts travel only to be compared: bands are made where
-the documents are read.
+Equal lines are one id (XXH3, 64 bits over the raw bytes). A task signs each of
+its lines once (again after ``SEEN`` others), and equal ids become one before
+buckets are made, so a line that a third of all documents hold is signed once a
+task and compared once. Line texts travel only to be compared: bands are made
+where the documents are read, and a text leaves its task only if its id's bit
+is set among those of the ids that share a bucket.
 
 Defined cases: lines are what stands between line feeds; blank lines are
 neither removed nor counted as copies; a line shorter than ``k`` has itself as
@@ -50,6 +51,10 @@ STARS = (1, 4, 8)
 FEW = 32
 #: bytes of the slices that shingles are made of, so that the arrays of 8 bytes a character stay in the processor's cache
 CACHED = 1 << 16
+#: ids of its lines that a task remembers at once
+SEEN = 1 << 18
+#: bits of the table of ids whose texts are read, 8 MB at most; ids that share a bit only let a text through to the join
+WANTED = 1 << 26
 FOLDED = byte_values(4)[LOWER]
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -77,9 +82,10 @@ class Lines:
 
 def _shingles(s: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all k-character runs of the texts of a slice, and the text each belongs to (in order)."""
-    sums, inv = prefix_sums(FOLDED[s.data], P_BYTE)
+    sums, inv = prefix_sums(FOLDED.take(s.data), P_BYTE)
     first = (s.data & 0xC0) != 0x80  # first bytes of characters
-    if first.all():
+    ascii_ = first.all()
+    if ascii_:
         edge = np.arange(len(s.data) + 1)
         begin, end, inv = s.offsets[:-1], s.offsets[1:], inv[:-1]
     else:
@@ -88,17 +94,23 @@ def _shingles(s: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
         begin, end = np.searchsorted(at, s.offsets[:-1]), np.searchsorted(at, s.offsets[1:])
         sums, inv = sums[edge], inv[at]
     n = end - begin
-    h, size, keep = np.zeros(len(inv), U64), np.zeros(len(inv), np.int64), np.ones(len(inv), bool)
+    h, keep = np.zeros(len(inv), U64), np.ones(len(inv), bool)
     m = max(len(inv) - k + 1, 0)
-    h[:m] = (sums[k:] - sums[:m]) * inv[:m]
-    size[:m] = edge[k:] - edge[:m]
+    np.subtract(sums[k:], sums[:m], out=h[:m])
+    h[:m] *= inv[:m]
     for j in range(1, k):  # of a text's last k - 1 characters only a first one can begin a run
         keep[end[n > j] - j] = False
+    if ascii_:
+        h = run_mix(h[keep], np.array([k]))
+    else:
+        size = np.zeros(len(inv), np.int64)
+        size[:m] = edge[k:] - edge[:m]
+        h = run_mix(h[keep], size[keep])
+    runs = np.maximum(n - k + 1, n > 0)
     short = np.flatnonzero((n > 0) & (n < k))
     a, b = begin[short], end[short]
-    h[a] = (sums[b] - sums[a]) * inv[a]
-    size[a] = edge[b] - edge[a]
-    return run_mix(h[keep], size[keep]), np.repeat(np.arange(s.n), np.maximum(n - k + 1, n > 0))
+    h[(np.cumsum(runs) - runs)[short]] = run_mix((sums[b] - sums[a]) * inv[a], edge[b] - edge[a])
+    return h, np.repeat(np.arange(s.n), runs)
 
 
 def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
@@ -107,7 +119,12 @@ def signatures(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     The shingle hashes are mixed already: their high half picks the bin, the hash itself is the value.
     """
     out = np.full(n * BINS, _EMPTY, U64)
-    np.minimum.at(out, row * BINS + ((h >> U64(32)) * U64(BINS) >> U64(32)).astype(np.int64), h)
+    at = h >> U64(32)
+    at *= U64(BINS)
+    at >>= U64(32)
+    at = as_long(at)
+    at += row * BINS
+    np.minimum.at(out, at, h)
     out = out.reshape(n, BINS)
     own = out != _EMPTY
     r, c = np.nonzero(~own)
@@ -168,18 +185,29 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n_lines bigint, numbers array<bigint>, hashes array<bigint>")
 
 
-def _line_batches(batches):
-    """(id, text) of the different lines of each slice."""
+def _line_batches(batches, wanted: np.ndarray | None = None):
+    """(id, text) of the different lines of the batches, of those whose bit is set in ``wanted`` if it is given."""
+    seen: set = set()
     for batch in batches:
         for s in slices(text_array(batch)):
             x = Lines(s)
             at = _distinct_lines(s, x)
+            if wanted is not None:
+                bit = (x.hash[at] & U64(WANTED - 1)).astype(np.int64)
+                at = at[wanted[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1]
+            ids = x.hash[at].tolist()
+            at = at[np.fromiter((i not in seen for i in ids), bool, len(ids))]
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.update(ids)
+            if not len(at):
+                continue
             text = [s.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(x.start[at], x.end[at])]
             yield pa.RecordBatch.from_arrays([pa.array(as_long(x.hash[at])), pa.array(text, pa.string())], ["id", "text"])
 
 
 def _bands(docs: DataFrame, k: int) -> DataFrame:
-    """(key, id) of the lines; a line that stands in several slices stands several times."""
+    """(key, id) of the lines; a line that several tasks read stands several times."""
 
     def run(batches):
         for batch in _line_batches(batches):
@@ -217,8 +245,20 @@ def _shared(bands: DataFrame) -> DataFrame:
     return bands.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "key bigint, id bigint")
 
 
-def _line_texts(docs: DataFrame) -> DataFrame:
-    return docs.mapInArrow(_line_batches, "id bigint, text string")
+def _id_bits(ids: DataFrame) -> np.ndarray:
+    """Bytes of ``WANTED`` bits, those of the ids modulo ``WANTED`` set; one row of 4096 bytes per 32,768 of them."""
+    bit = F.col("id").bitwiseAND(WANTED - 1) + 1
+    rows = ids.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("bit")).repartition("bucket")
+    out = np.zeros((WANTED >> 15, 4096), np.uint8)
+    for r in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        out[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def _line_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the lines of ``ids``, and of few others; a line that several tasks read stands several times."""
+    bits = docs.sparkSession.sparkContext.broadcast(_id_bits(ids))
+    return docs.mapInArrow(lambda batches: _line_batches(batches, bits.value), "id bigint, text string")
 
 
 def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -229,14 +269,14 @@ def find_repeated_lines(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den:
     members = different_buckets(_shared(_bands(named, k)))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        return _line_texts(named).join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+        return _line_texts(named, ids).join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
     comp = stage(near_components(members, fetch, lambda column: line_sets(column, k), num, den, stars=STARS, few=FEW), "components")
     rows = occ.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("numbers", "hashes")).alias("x")).select(
         "doc_id", F.col("x.numbers").alias("number"), F.col("x.hashes").alias("id"))
-    first = stage(rows.groupBy("id").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
-                  .join(comp, "id", "left").select("id", "first", "n", F.coalesce("component", "id").alias("component")), "first")
     # only lines that occur again, as themselves or in their component, can be removed
+    first = stage(rows.groupBy("id").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .join(comp, "id", "left").where("n > 1 OR component IS NOT NULL").select("id", "first", "n", F.coalesce("component", "id").alias("component")), "first")
     keep = first.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1")
     keep = stage(first.join(keep, "component").select("id", "keep"), "keep")
     gone = (rows.join(keep, "id").where(F.struct("doc_id", "number") != F.col("keep"))
