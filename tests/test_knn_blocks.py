@@ -73,3 +73,19 @@ def test_a_rounded_product_cannot_lose_a_neighbour():
     q.probe(ids, x, x.min(axis=0), x.max(axis=0))
     want = _brute(ids, x, 3)
     assert {(i, r + 1): (int(q.nid[i, r]), float(q.dist[i, r])) for i in ids.tolist() for r in range(3)} == want
+
+
+def test_blocks_are_small_enough_to_prune(monkeypatch):
+    """Vectors that spread along two dimensions: a query is measured against a small share of the rows."""
+    r = np.random.default_rng(4)
+    x = np.column_stack([r.random(8192) * 1e6, r.random(8192) * 1e5, r.integers(0, 2, (8192, 6))])
+    ids, cells, real = np.arange(len(x)), [], knn._Queries._probe
+    monkeypatch.setattr(knn._Queries, "_probe", lambda self, rows, i, y, *a: (cells.append(len(rows) * len(y)), real(self, rows, i, y, *a)))
+    blocks = [(b, x[b].min(axis=0), x[b].max(axis=0)) for b in knn._halved(x, ids, knn.BLOCK)]
+    for b, lo, hi in blocks:
+        q = knn._Queries(ids[b], x[b], 3, True)
+        for o, olo, ohi in sorted(blocks, key=lambda z: knn._gap2(z[1], z[2], q.lo, q.hi) + (z[0] is not b)):
+            q.probe(ids[o], x[o], olo, ohi)
+        want = np.sort(np.linalg.norm(x[b[:5], None] - x[None], axis=2), axis=1)[:, 1:4]
+        assert np.allclose(q.dist[:5], want)
+    assert sum(cells) < 1500 * len(x)
