@@ -378,3 +378,23 @@ def test_random_cause_repeats_and_averages(spark):
     one = [ca.psm_effect(df.withColumn("simulation", F.lit(j)).withColumn("u", u), "t", "y", ["x", "u"], "id").first()["ate"] for j in (1, 2)]
     two = ca.refute_random_common_cause(df, "t", "y", ["x"], "id", simulations=2).first()
     assert abs(two["new_effect"] - sum(one) / 2) < 1e-9
+
+
+def test_attribution_work_per_path_is_a_few_columns():
+    """Rows x path features, and never rows x all features or 8-byte patterns, is what a short path costs."""
+    from turnstone.operators import treeshap as ts
+    r = np.random.default_rng(2)
+    X = r.random((500, 6))
+    tree = {"weight": 0.5, "nodes": {
+        0: {"left": 1, "right": 2, "value": 0.0, "cover": 10.0, "feature": 1, "thr": [0.4], "ncat": -1},
+        1: {"left": -1, "right": -1, "value": -1.0, "cover": 4.0, "feature": -1, "thr": [], "ncat": -1},
+        2: {"left": 3, "right": 4, "value": 0.0, "cover": 6.0, "feature": 4, "thr": [0.7], "ncat": -1},
+        3: {"left": -1, "right": -1, "value": 2.0, "cover": 5.0, "feature": -1, "thr": [], "ncat": -1},
+        4: {"left": -1, "right": -1, "value": 0.5, "cover": 1.0, "feature": -1, "thr": [], "ncat": -1}}}
+    paths = ts.pack([tree])
+    assert all(ts.satisfied(X, p).dtype == np.uint8 for p in paths)
+    f = np.where(X[:, 1] <= 0.4, -1.0, np.where(X[:, 4] <= 0.7, 2.0, 0.5))
+    for base, phi in (ts.attribute_batch(X, ts.pack([tree]), 6), ts.interventional_batch(X, X[:100], ts.pack([tree]), 6)):
+        assert np.allclose(base + phi.sum(axis=1), f) and not phi[:, [0, 2, 3, 5]].any()
+    want = sorted((i, int(q), int(n)) for i, p in enumerate(paths) for q, n in zip(*np.unique(ts.satisfied(X, p), return_counts=True)))
+    assert sorted(ts.pattern_counts(X, paths)) == want
